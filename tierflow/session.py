@@ -81,7 +81,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tierflow/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     """Create an empty folder on whatever file system ``path`` names."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jvm_path)
+    system, jvm_path = _file_system(spark, path)
+    system.mkdirs(jvm_path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``."""
+    system, jvm_path = _file_system(spark, path)
+    return system.exists(jvm_path)

@@ -192,12 +192,15 @@ def warehouse_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three measures per nation and year; some nations have a row without
     value in 2002."""
-    sums = (table(spark, sf_dir, "orders")
-            .join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
-                  F.col("o_custkey") == F.col("c_custkey"))
-            .groupBy("c_nationkey", F.year("o_orderdate").alias("year"))
-            .agg(F.sum(money("o_totalprice")).cast("double").alias("total"),
-                 F.count(F.lit(1)).cast("double").alias("orders")))
+    per_customer = (table(spark, sf_dir, "orders")
+                    .groupBy("o_custkey", F.year("o_orderdate").alias("year"))
+                    .agg(F.sum(money("o_totalprice")).alias("total"),
+                         F.count(F.lit(1)).alias("orders")))
+    sums = (per_customer.join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
+                              F.col("o_custkey") == F.col("c_custkey"))
+            .groupBy("c_nationkey", "year")
+            .agg(F.sum("total").cast("double").alias("total"),
+                 F.sum("orders").cast("double").alias("orders")))
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     measures = sums.select("c_nationkey", "year", F.expr(
         "stack(3, 'REV', total, 'CNT', orders, 'AOV', total / orders) AS (key, value)"))

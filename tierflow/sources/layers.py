@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.session import path_exists
+
 
 def read_layer(spark: SparkSession, base: str, name: str, fmt: str = "parquet") -> DataFrame:
     """Table ``name`` below ``base``."""
@@ -15,10 +17,12 @@ def read_layer(spark: SparkSession, base: str, name: str, fmt: str = "parquet")
 
 def read_if_there(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
     """The table at ``path``, or None if there is none (yet)."""
+    if not path_exists(spark, path):
+        return None
     try:
         return spark.read.format(fmt).load(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without files yet
             return None
         raise
 

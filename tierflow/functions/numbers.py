@@ -4,15 +4,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Amounts are added up as whole numbers of this many units per currency unit.
+MONEY_UNITS = 10_000
+
+
 def money(column: Column | str) -> Column:
-    """An amount as a decimal, so that sums do not depend on the row order."""
-    return F.col(column).cast("decimal(20,4)") if isinstance(column, str) \
-        else column.cast("decimal(20,4)")
+    """An amount as a whole number of units, so that sums of it are exact, do
+    not depend on the row order and cannot overflow."""
+    value = F.col(column) if isinstance(column, str) else column
+    return F.rint(value * MONEY_UNITS).cast("bigint").cast("decimal(18,0)")
 
 
 def money_sum(column: Column | str) -> Column:
     """Exact sum of amounts, given back as a double."""
-    return F.sum(money(column)).cast("double")
+    return F.sum(money(column)).cast("double") / MONEY_UNITS
 
 
 def money_avg(column: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierflow.schemas import CORRUPT
@@ -24,13 +24,12 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def dedup(df: DataFrame, keys: list[str], first_by: list[str] | None = None) -> DataFrame:
     """One row per key; NULL keys are equal to each other.
 
-    With ``first_by`` the row that is smallest in those columns stays, which
-    makes the choice repeatable. Both forms combine map-side, so a key that
-    fills a third of the table reaches the shuffle as one row per task.
+    With ``first_by`` the row that comes first in those columns stays, which
+    makes the choice repeatable. Repeats are removed inside each task before
+    the shuffle, so a key that fills a third of the table reaches it as one row
+    per task.
     """
     if not first_by:
         return df.dropDuplicates(keys)
-    rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*first_by, *[c for c in rest if c not in first_by])
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
+    window = Window.partitionBy(*keys).orderBy(*first_by)
+    return df.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") == 1).drop("_n")

@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.functions.numbers import money
+from tierflow.functions.numbers import MONEY_UNITS, money
 from tierflow.operators.indicators import Registry
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -37,6 +37,12 @@ def _days(count: Column | int) -> Column:
     return F.make_dt_interval(count if isinstance(count, Column) else F.lit(count))
 
 
+def _hundredths(column: str) -> Column:
+    """A number with two decimals times 100, as a whole (double) number, so
+    that products of such numbers are exact."""
+    return F.rint(F.col(column) * 100)
+
+
 def _every(n: int, column: str = "event_id", rest: int = 0) -> Column:
     return F.col(column) % n == rest
 
@@ -63,23 +69,22 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    freight = F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_tax").cast("decimal(4,2)")
+    freight = _hundredths("l_extendedprice") * _hundredths("l_tax") / 10_000
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"),
-        F.col("l_extendedprice").alias("price"), freight.cast("double").alias("freight_value"))
+        F.col("l_extendedprice").alias("price"), freight.alias("freight_value"))
 
 
 def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paid = F.col("l_extendedprice").cast("decimal(18,2)") \
-        * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+    paid = _hundredths("l_extendedprice") * (100 - _hundredths("l_discount")) / 10_000
     kind = (F.when(F.col("l_returnflag") == "A", "credit_card")
              .when(F.col("l_returnflag") == "N", "boleto").otherwise("voucher"))
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("payment_sequential"),
         kind.alias("payment_type"),
         (F.lit(1) + F.col("l_partkey") % 12).cast("int").alias("payment_installments"),
-        paid.cast("double").alias("payment_value"))
+        paid.alias("payment_value"))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +204,7 @@ def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = (per_customer.join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
                               F.col("o_custkey") == F.col("c_custkey"))
             .groupBy("c_nationkey", "year")
-            .agg(F.sum("total").cast("double").alias("total"),
+            .agg((F.sum("total").cast("double") / MONEY_UNITS).alias("total"),
                  F.sum("orders").cast("double").alias("orders")))
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     measures = sums.select("c_nationkey", "year", F.expr(

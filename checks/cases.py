@@ -349,7 +349,7 @@ def stream_complete_counts(spark, d):
 def stream_dedup(spark, d):
     base, bronze = shipment_stream(spark, d)
     events = shipments.enrich(bronze)
-    once = streams.stream_dedup(events, shipments.EVENT_KEY, "event_ts")
+    once = streams.stream_dedup(events, shipments.EVENT_KEY, "event_ts", spread_by="offset")
     return spark.read.parquet(drain(spark, once.select(*shipments.EVENT_KEY, "event_type"), base))
 
 

@@ -144,7 +144,7 @@ def global_ntile(df: DataFrame, tiles: int, scores: dict[str, Ordering],
     expression. ``df`` is scanned several times, so pass a stored table.
     """
     total = df.count()
-    if total == 0:
+    if total == 0 or tiles == 1:
         return df.withColumns({name: F.lit(1) for name in scores})
     size, longer = divmod(total, tiles)
     ends = [i * size + min(i, longer) for i in range(1, tiles)]

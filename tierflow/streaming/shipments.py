@@ -14,6 +14,8 @@ from tierflow.streaming.sink import AVAILABLE_NOW, stream_sink
 
 # How long a repeat of an event is still recognised.
 DEDUP_HORIZON = "7 days"
+# Slices over which copies of one message are spread.
+SLICES = 256
 
 
 def bronze_streams(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -26,18 +28,33 @@ def bronze_streams(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def stream_dedup(df: DataFrame, keys: list[str], event_time: str,
-                 horizon: str = DEDUP_HORIZON) -> DataFrame:
-    """Drop repeats across batches. The keys include the event time, so state
-    older than the horizon is released."""
-    if event_time not in keys:
-        return df.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(keys)
-    return df.withWatermark(event_time, horizon).dropDuplicates(keys)
+                 horizon: str = DEDUP_HORIZON, spread_by: str | None = None) -> DataFrame:
+    """Drop repeats across batches. If the keys include the event time, state
+    older than the horizon is released; otherwise repeats are dropped within it.
+
+    A stream cannot combine repeats before its shuffle, so one message sent
+    very often would end up in one task. ``spread_by`` names a whole-number
+    column that differs between such copies (the offset): a first pass then
+    removes repeats within 256 slices of it, and the second one only sees one
+    copy per slice.
+    """
+    df = df.withWatermark(event_time, horizon)
+
+    def once(stream: DataFrame, columns: list[str]) -> DataFrame:
+        return stream.dropDuplicates(columns) if event_time in columns \
+            else stream.dropDuplicatesWithinWatermark(columns)
+
+    if spread_by:
+        sliced = df.withColumn("_slice", F.pmod(F.col(spread_by), F.lit(SLICES)))
+        df = once(sliced, [*keys, "_slice"]).drop("_slice")
+    return once(df, keys)
 
 
 def silver_stream(bronze: DataFrame, horizon: str = DEDUP_HORIZON,
                   hours: dict[str, int] | None = None, strict_nulls: bool = False) -> DataFrame:
     """Clean events as a stream."""
-    return (stream_dedup(enrich(bronze, hours, strict_nulls), EVENT_KEY, "event_ts", horizon)
+    return (stream_dedup(enrich(bronze, hours, strict_nulls), EVENT_KEY, "event_ts", horizon,
+                         spread_by="offset")
             .withColumn("processed_at", F.current_timestamp()))
 
 

@@ -59,12 +59,18 @@ def _p95(delay: str, accuracy: int | None) -> Column:
     return F.expr(f"percentile_disc(0.95) WITHIN GROUP (ORDER BY {delay})")
 
 
-def carrier_kpis(silver: DataFrame, window: str = "5 minutes", watermark: str = "10 minutes",
+def carrier_kpis(silver: DataFrame, window: str = "5 minutes",
+                 watermark: str | None = "10 minutes",
                  p95_accuracy: int | None = None) -> DataFrame:
-    """Delay figures per carrier and tumbling event-time window."""
+    """Delay figures per carrier and tumbling event-time window.
+
+    A stream that comes out of another stateful step keeps the watermark of
+    that step: pass None.
+    """
     late = F.sum(F.when(F.col("delay_minutes") > 0, 1).otherwise(0))
     breached = F.sum(F.col("sla_breached").cast("int"))
-    source = silver.withWatermark("event_ts", watermark) if silver.isStreaming else silver
+    source = silver.withWatermark("event_ts", watermark) if silver.isStreaming and watermark \
+        else silver
     return (source.groupBy(F.window("event_ts", window).alias("w"), "carrier_code")
             .agg(F.count(F.lit(1)).alias("total_events"),
                  late.alias("delayed_events"),

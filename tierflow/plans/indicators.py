@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tierflow.operators.indicators import (INDICATORS, Registry, flatten_payload, load_summary,
                                            preview, select_indicators)
+from tierflow.schemas import INDICATOR
 from tierflow.sinks.batch import load_some_indicators, save_indicators
 from tierflow.sources.payloads import read_payloads
 
@@ -33,5 +34,6 @@ def run_indicators(spark: SparkSession, payload_dir: str, path: str,
         save_indicators(rows, path)
     else:
         codes = [code for code, _ in wanted.values()]
-        load_some_indicators(spark.read.parquet(existing), rows, codes, path)
-    return load_summary(select_indicators(spark.read.parquet(path), wanted, wanted), wanted)
+        load_some_indicators(spark.read.schema(INDICATOR).parquet(existing), rows, codes, path)
+    loaded = spark.read.schema(INDICATOR).parquet(path)  # a load may bring no rows at all
+    return load_summary(select_indicators(loaded, wanted, wanted), wanted)

@@ -9,6 +9,6 @@ def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
 
     A response page is saved as ``<key>.json`` or ``<key>.<page>.json``.
     """
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
-    return (spark.read.option("wholetext", True).text(folder)
-            .select(F.split(name, r"\.")[0].alias("key"), F.col("value").alias("body")))
+    return (spark.read.text(folder, wholetext=True)
+            .select(F.split("_metadata.file_name", r"\.")[0].alias("key"),
+                    F.col("value").alias("body")))

@@ -519,9 +519,9 @@ def schema_evolution_union(spark, d):
 
 
 def stored_silver(spark, d):
-    """Clean shipments in many small files; returns their path."""
+    """Clean shipments in the files the de-duplication leaves; returns their path."""
     path = scratch_path(spark, "silver")
-    silver(spark, d).repartition(16).write.parquet(path)
+    silver(spark, d).write.parquet(path)
     return path
 
 

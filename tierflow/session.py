@@ -15,6 +15,9 @@ SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Exact percentiles: keep hashing groups instead of sorting all rows once a
+    # task has seen more than 128 of them.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 # State of stateful streaming operators lives in RocksDB so that it can spill

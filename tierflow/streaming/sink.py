@@ -20,15 +20,17 @@ def stream_sink(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
     there and stop. ``complete`` mode writes the whole result of each batch as
     a new version; read it with :func:`read_newest_version`. The number of
     state partitions is fixed when a checkpoint is first used: by default the
-    cores of the cluster.
+    session's shuffle partitions, in local mode not more than there are cores.
     """
     spark = df.sparkSession
+    if partitions is None:
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if spark.sparkContext.master.startswith("local"):
+            partitions = min(partitions, spark.sparkContext.defaultParallelism)
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger == AVAILABLE_NOW \
         else writer.trigger(processingTime=f"{trigger} seconds")
-    state = {**STREAM_SETTINGS, "spark.sql.shuffle.partitions":
-             str(partitions or spark.sparkContext.defaultParallelism)}
-    with settings(spark, state):
+    with settings(spark, {**STREAM_SETTINGS, "spark.sql.shuffle.partitions": str(partitions)}):
         if mode == "complete":
             def write_version(batch: DataFrame, number: int) -> None:
                 batch.write.format(fmt).mode("overwrite").save(f"{path}/version={number}")

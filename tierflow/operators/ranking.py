@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -31,13 +33,29 @@ class Ordering:
     key: str
     descending: bool = False
 
+    def _value(self) -> Column:
+        return -F.col(self.column) if self.descending else F.col(self.column)
+
     def position(self) -> Column:
-        """A struct that compares the way the rows are ordered."""
-        value = F.col(self.column)
-        nulls = F.when(value.isNull(), int(self.descending)).otherwise(int(not self.descending))
-        return F.struct(nulls.alias("nulls"), (-value if self.descending else value).alias("value"),
+        """A struct that sorts the way the rows are ordered."""
+        nulls = F.when(F.col(self.column).isNull(), int(self.descending)).otherwise(
+            int(not self.descending))
+        return F.struct(nulls.alias("nulls"), self._value().alias("value"),
                         F.col(self.key).alias("key"))
 
+    def after(self, place: Row, df: DataFrame) -> Column:
+        """Whether a row comes after the one at ``place``, in plain comparisons
+        that Spark compiles (structs would be built and compared per row)."""
+        value, key = self._value(), F.col(self.key)
+        kinds = {name: df.schema[name].dataType for name in (self.column, self.key)}
+        later_key = key.isNotNull() if place.key is None else F.coalesce(
+            key > F.lit(place.key).cast(kinds[self.key]), F.lit(False))
+        if place.value is None:
+            return value.isNull() & later_key if self.descending else value.isNotNull() | later_key
+        border = F.lit(place.value).cast(kinds[self.column])
+        later = (value > border) | ((value == border) & later_key)
+        return F.coalesce(later, F.lit(self.descending))
+
 
 @dataclass
 class _Target:
@@ -52,20 +70,35 @@ class _Target:
     tried: list = field(default_factory=list)
 
 
-def _literal(position: Row, order: Column, df: DataFrame) -> Column:
-    kinds = df.select(order.alias("p")).schema["p"].dataType
-    return F.struct(*[F.lit(position[f.name]).cast(f.dataType).alias(f.name) for f in kinds])
-
-
-def _inside(df: DataFrame, order: Column, low: Row | None, high: Row | None) -> Column:
+def _inside(df: DataFrame, order: Ordering, low: Row | None, high: Row | None) -> Column:
     condition = F.lit(True)
     if low is not None:
-        condition = condition & (order > _literal(low, order, df))
+        condition = condition & order.after(low, df)
     if high is not None:
-        condition = condition & (order <= _literal(high, order, df))
+        condition = condition & ~order.after(high, df)
     return condition
 
 
+def _count(condition: Column) -> Column:
+    return F.sum(condition.cast("int"))
+
+
+def _gathered(df: DataFrame, parts: list[tuple[Ordering, Column]],
+              picks: Callable[[int, Column, Column], list[Column]]) -> Row:
+    """One row with what ``picks`` takes from the sorted positions, and their
+    number, of each (order, condition) part.
+
+    Rows of no part are filtered out first, so only the few others reach the
+    collecting aggregate, and only the picked positions reach the driver.
+    """
+    kept = df.filter(reduce(lambda a, b: a | b, [condition for _, condition in parts]))
+    lists = kept.agg(*[column for i, (order, condition) in enumerate(parts) for column in (
+        F.sort_array(F.collect_list(F.when(condition, order.position()))).alias(f"p{i}"),
+        _count(condition).alias(f"n{i}"))])
+    return lists.select(*[column for i in range(len(parts))
+                          for column in picks(i, F.col(f"p{i}"), F.col(f"n{i}"))]).first()
+
+
 def _narrow(df: DataFrame, targets: list[_Target], sample: int, round_no: int) -> None:
     """Shrink the range of every target around its expected place.
 
@@ -74,28 +107,29 @@ def _narrow(df: DataFrame, targets: list[_Target], sample: int, round_no: int) -
     the sample only affects how fast the search ends, never its result.
     """
     scale = 1 << 30
-    picks = []
+    parts = []
     for t in targets:
-        order = t.order.position()
         share = min(scale, math.ceil(scale * sample / t.size))
         chance = F.pmod(F.xxhash64(F.col(t.order.key), F.lit(round_no)), F.lit(scale)) < share
-        picks.append(F.sort_array(F.collect_list(
-            F.when(_inside(df, order, t.low, t.high) & chance, order))))
-    drawn = df.agg(*[p.alias(f"s{i}") for i, p in enumerate(picks)]).first()
+        parts.append((t.order, chance & _inside(df, t.order, t.low, t.high)))
+
+    def around(i: int, rows: Column, drawn_rows: Column) -> list[Column]:
+        share = (targets[i].rank - targets[i].below) / targets[i].size
+        at = F.floor(drawn_rows * share)
+        margin = F.ceil(3 * F.sqrt(drawn_rows * share * (1 - share))) + 1
+        margin = F.least(margin, F.ceil(drawn_rows / 4))  # so that a pivot lies inside
+        return [F.get(rows, (at - margin).cast("int")).alias(f"l{i}"),
+                F.get(rows, (at + margin).cast("int")).alias(f"r{i}")]
 
+    drawn = _gathered(df, parts, around)
     counts, pivots = [], []
     for i, t in enumerate(targets):
-        rows = drawn[f"s{i}"]
-        share = (t.rank - t.below) / t.size
-        margin = math.ceil(3 * math.sqrt(len(rows) * share * (1 - share))) + 1
-        at = math.floor(share * len(rows))
-        left = rows[at - margin] if at - margin >= 0 else t.low
-        right = rows[at + margin] if at + margin < len(rows) else t.high
+        left = t.low if drawn[f"l{i}"] is None else drawn[f"l{i}"]
+        right = t.high if drawn[f"r{i}"] is None else drawn[f"r{i}"]
         pivots.append((left, right))
-        order = t.order.position()
-        before = _inside(df, order, t.low, left) if left is not t.low else F.lit(False)
-        counts.append(F.count_if(before).alias(f"b{i}"))
-        counts.append(F.count_if(_inside(df, order, left, right)).alias(f"m{i}"))
+        before = _inside(df, t.order, t.low, left) if left is not t.low else F.lit(False)
+        counts.append(_count(before).alias(f"b{i}"))
+        counts.append(_count(_inside(df, t.order, left, right)).alias(f"m{i}"))
     found = df.agg(*counts).first()
 
     for i, t in enumerate(targets):
@@ -126,13 +160,9 @@ def rows_at(df: DataFrame, wanted: list[tuple[Ordering, int]], total: int,
     while open_ones := [t for t in targets if t.size > gather]:
         _narrow(df, open_ones, sample, round_no)
         round_no += 1
-    picks = []
-    for i, t in enumerate(targets):
-        order = t.order.position()
-        inside = F.when(_inside(df, order, t.low, t.high), order)
-        picks.append(F.sort_array(F.collect_list(inside))[t.rank - t.below - 1].alias(f"p{i}"))
-    last = df.agg(*picks).first()
-    return [last[f"p{i}"] for i in range(len(targets))]
+    parts = [(t.order, _inside(df, t.order, t.low, t.high)) for t in targets]
+    return list(_gathered(df, parts, lambda i, rows, _: [
+        rows[targets[i].rank - targets[i].below - 1].alias(f"p{i}")]))
 
 
 def global_ntile(df: DataFrame, tiles: int, scores: dict[str, Ordering],
@@ -152,9 +182,9 @@ def global_ntile(df: DataFrame, tiles: int, scores: dict[str, Ordering],
     found = iter(rows_at(df, wanted, total, gather, sample))
     columns = {}
     for name, order in scores.items():
-        place, tile = order.position(), F.lit(1)
+        tile = F.lit(1)
         for _ in ends:
-            tile = tile + (place > _literal(next(found), place, df)).cast("int")
+            tile = tile + order.after(next(found), df).cast("int")
         columns[name] = tile
     return df.withColumns(columns)
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tierflow.llm import chat, encoding, packing
+from tierflow.llm import (chat, encoding, html_text, language, line_dedup, near_vectors, neighbours,
+                          packing, shingle_join)
 from tierflow.llm.common import ship_package, table
 from tierflow.session import prepare
 
@@ -33,11 +34,31 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicated_lines(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@query
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.similar_texts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predicted_languages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encoding_digests(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -46,3 +67,16 @@ def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.page_texts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op1_line_dedup"] = line_dedup.SQL

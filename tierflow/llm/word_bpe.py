@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -53,6 +53,20 @@ class Numbers(dict):
         return number
 
 
+class Borders(dict):
+    """Whether two tokens, as first << 20 | second, stay apart when their texts meet."""
+
+    def __init__(self, crosses: Callable[[int, int, int], bool]):
+        super().__init__()
+        self.crosses = crosses
+
+    def __missing__(self, key: int) -> bool:
+        if len(self) >= MEMO:
+            self.clear()
+        self[key] = known = not self.crosses(key >> 20, key & 0xFFFFF, NEVER)
+        return known
+
+
 class WordBpe:
     """Encoder of one tokenizer file (BPE with word ends, byte letters)."""
 
@@ -94,7 +108,7 @@ class WordBpe:
         self.plain = {k: i for k, i in self.plain.items() if i in reachable}
         self.final = {k: i for k, i in self.final.items() if i in reachable}
         self.longest = max(map(len, self.plain)), max(map(len, self.final))
-        self.memo: dict[int, bool] = {}
+        self.memo = Borders(self._crosses)
 
     def _crosses(self, first: int, second: int, before: int) -> bool:
         """Whether a merge across the border comes before both sides are whole.
@@ -110,46 +124,48 @@ class WordBpe:
                     return True
         return False
 
-    def beside(self, first: int, second: int) -> bool:
-        """Whether the two tokens stay apart when their texts meet."""
-        key = first << 20 | second
-        known = self.memo.get(key)
-        if known is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            known = self.memo[key] = not self._crosses(first, second, NEVER)
-        return known
-
     def walk(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
         """(word, ids) of distinct non-empty words given in sorted order.
 
         ``last[d]`` is the last token of the prefix of d bytes, ``size[d]`` its bytes.
         """
-        plain, final, beside = self.plain, self.final, self.beside
+        plain, final, beside = self.plain.get, self.final.get, self.memo.__getitem__
         longest, longest_final = self.longest
         last, size, before = [0], [0], b""
         for word in words:
             end = len(word)
-            known = min(len(last) - 1, end - 1)
+            known = min(len(last), end) - 1
             shared = 0
             while shared < known and word[shared] == before[shared]:
                 shared += 1
             del last[shared + 1:], size[shared + 1:]
             for d in range(shared + 1, end):
-                for start in range(max(0, d - longest), d):
-                    token = plain.get(word[start:d])
-                    if token is not None and (start == 0 or beside(last[start], token)):
-                        last.append(token)
-                        size.append(d - start)
+                # Exactly one start is right. Most likely the last token goes on,
+                # or the byte stands alone.
+                start = d - 1 - size[d - 1]
+                token = plain(word[start:d])
+                if token is None or start and not beside(last[start] << 20 | token):
+                    start = d - 1
+                    token = plain(word[start:d])
+                    if token is None or start and not beside(last[start] << 20 | token):
+                        for start in range(max(0, d - longest), d - 1):
+                            token = plain(word[start:d])
+                            if token is not None and (
+                                    not start or beside(last[start] << 20 | token)):
+                                break
+                        else:
+                            raise ValueError(f"no encoding of {word!r}")
+                last.append(token)
+                size.append(d - start)
+            start = end - 1 - size[end - 1]
+            token = final(word[start:])
+            if token is None or start and not beside(last[start] << 20 | token):
+                for start in (end - 1, *range(max(0, end - longest_final), end - 1)):
+                    token = final(word[start:])
+                    if token is not None and (not start or beside(last[start] << 20 | token)):
                         break
                 else:
                     raise ValueError(f"no encoding of {word!r}")
-            for start in range(max(0, end - longest_final), end):
-                token = final.get(word[start:])
-                if token is not None and (start == 0 or beside(last[start], token)):
-                    break
-            else:
-                raise ValueError(f"no encoding of {word!r}")
             ids = [token]
             while start:
                 ids.append(last[start])
@@ -160,6 +176,11 @@ class WordBpe:
 
     def words_of(self, piece: str) -> list[bytes | int]:
         """The words of a piece without white space; special tokens as their ids."""
+        if piece.isascii():
+            if piece.isalpha():
+                return [piece.lower().encode()]
+            if piece[:-1].isalpha() and piece[-1] in ",.":
+                return [piece[:-1].lower().encode(), piece[-1:].encode()]
         if PLAIN.fullmatch(piece):
             if "<|" in piece:
                 return self._with_special(piece)
@@ -200,13 +221,19 @@ class WordBpe:
     def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces: one walk over the distinct words of all of them."""
         parts = [self.words_of(p) for p in pieces]
-        words = {w for part in parts for w in part if isinstance(w, bytes)}
-        ids = dict(self.walk(sorted(words)))
-        flat = [[i for w in part for i in ((w,) if isinstance(w, int) else ids[w])] for part in parts]
-        lengths = np.array([len(x) for x in flat], np.int64)
-        new = np.fromiter((i for x in flat for i in x), np.uint32, int(lengths.sum()))
-        self.flat = np.concatenate([self.flat, new])
-        self.lengths = np.concatenate([self.lengths, lengths])
+        ids = dict(self.walk(sorted({w for part in parts for w in part if w.__class__ is bytes})))
+        flat: list[int] = []
+        lengths = []
+        for part in parts:
+            held = len(flat)
+            for w in part:
+                if w.__class__ is bytes:
+                    flat += ids[w]
+                else:
+                    flat.append(w)
+            lengths.append(len(flat) - held)
+        self.flat = np.concatenate([self.flat, np.array(flat, np.uint32)])
+        self.lengths = np.concatenate([self.lengths, np.array(lengths, np.int64)])
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int64)])
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import bisect
 import re
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import islice
@@ -34,6 +35,8 @@ FORBIDDEN = 60.0  # what a word of a script that is not the language's costs
 KEEP = 500_000  # distinct pieces a worker remembers
 CELLS = 400_000  # texts x words of one best-path batch
 
+LEAST_SCORE = 0.5  # a text whose language has a smaller share of its letters is rejected
+
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 # First code points of script ranges, and what begins there.
@@ -262,6 +265,18 @@ LABELLED = ("key {key}, lang_pred string, score double, "
 _LABELLERS: dict[str, Labeller] = {}
 
 
+def _labeller(name: str, triples: list[tuple[str, str, int]]) -> Labeller:
+    """The worker's labeller of a model."""
+    if name not in _LABELLERS:
+        _LABELLERS.clear()
+        _LABELLERS[name] = Labeller(LetterModel(triples))
+    return _LABELLERS[name]
+
+
+def _text_slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    yield from slices(pc.utf8_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
+
+
 def label_languages(docs: DataFrame, triples: list[tuple[str, str, int]], key: str = "doc_id",
                     spans: bool = True) -> DataFrame:
     """(key, lang_pred, score, spans) of every row's whole text.
@@ -272,18 +287,14 @@ def label_languages(docs: DataFrame, triples: list[tuple[str, str, int]], key: s
     """
     kind = docs.schema[key].dataType.simpleString()
     model = docs.sparkSession.sparkContext.broadcast(triples)  # at most FIT_GRAMS rows
-    name = f"{docs.sparkSession.sparkContext.applicationId}-{id(model)}"
+    name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _LABELLERS:
-            _LABELLERS.clear()
-            _LABELLERS[name] = Labeller(LetterModel(model.value))
-        labeller = _LABELLERS[name]
+        labeller = _labeller(name, model.value)
         run_type = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))
         for batch in batches:
             texts = batch.column(1)
-            sizes = pc.utf8_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
-            for begin, end in slices(sizes):
+            for begin, end in _text_slices(texts):
                 found = labeller.label(texts.slice(begin, end - begin).to_pylist())
                 runs = [[{"lang": a, "words": n} for a, n in f[2]] if spans else None for f in found]
                 yield pa.RecordBatch.from_arrays([
@@ -296,6 +307,28 @@ def label_languages(docs: DataFrame, triples: list[tuple[str, str, int]], key: s
             .mapInArrow(run, LABELLED.format(key=kind)).withColumnRenamed("key", key))
 
 
+def keep_labelled(docs: DataFrame, triples: list[tuple[str, str, int]],
+                  least: float = LEAST_SCORE) -> DataFrame:
+    """Rows of ``docs`` whose text has a language with at least ``least`` of its letters.
+
+    Rejected are 'und' and texts of which no language has such a share. All
+    columns stay; rows that repeat stay or go together.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(triples)  # at most FIT_GRAMS rows
+    name, at = uuid.uuid4().hex, docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = _labeller(name, model.value)
+        for batch in batches:
+            texts = batch.column(at)
+            for begin, end in _text_slices(texts):
+                found = labeller.label(texts.slice(begin, end - begin).to_pylist())
+                yield batch.slice(begin, end - begin).filter(
+                    pa.array([f[0] != UNKNOWN and f[1] >= least for f in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predicted_languages(docs: DataFrame) -> DataFrame:
     """Contract columns of the language query."""
     return label_languages(docs, fit(docs), spans=False).select(

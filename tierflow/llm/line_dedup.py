@@ -94,37 +94,43 @@ def repeated_windows(windows: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` without later repeated runs; adds n_lines, n_removed (ints).
-
-    ``text`` loses the runs' lines, and blank lines inside them; ``n_chars`` is
-    renewed where the table has it. A document that loses all lines keeps its row
-    with an empty text. Null texts stay null with no lines; an empty text has one
-    blank line. Rows that repeat in id and text are one document and get the same
-    result. All columns stay in place.
+    """(row, text, n_lines, n_removed): each row of ``docs`` as a struct, the text that is
+    left of it, and its lines before and those removed.
+
+    ``text`` loses the lines of later runs, and blank lines inside them. A
+    document that loses all lines keeps its row with an empty text. A null text
+    stays null with no lines; an empty text has one blank line. Rows that repeat
+    in id and text are one document and get the same result. An empty table gives
+    an empty one.
     """
     windows = stored(winnowed_windows(hashed_lines(docs), min_words), "line-windows")
     gone = (repeated_windows(windows)
             .select("_doc", "_text", F.explode(F.sequence("first", "last")).alias("pos")).distinct()
-            .groupBy("_doc", "_text").agg(F.collect_list("pos").alias("_gone")))
-    joined = _identity(docs).join(gone, ["_doc", "_text"], "left")
+            .groupBy("_doc", "_text").agg(F.collect_list("pos").alias("gone")))
+    rows = _identity(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")))
     lines = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+    left = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(kept, lambda i: lines[i]), "\n"))
-    counted = joined.withColumn("_lines", F.coalesce(F.size(lines), F.lit(0))).withColumn("_new", text)
-    columns = [F.col("_new").alias(c) if c == "text"
-               else F.length("_new").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-               else F.col(c) for c in docs.columns]
-    return counted.select(
-        *columns, F.when(F.col("text").isNull(), 0).otherwise(F.col("_lines")).alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).alias("n_removed"))
+    return rows.join(gone, ["_doc", "_text"], "left").select(
+        "row", left.alias("text"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"))
+
+
+def renewed_documents(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` with the text that is left and, where there is one, a renewed n_chars."""
+    renewed = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        renewed["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return dedup_lines(docs, min_words).select(
+        *[renewed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def deduplicated_lines(docs: DataFrame) -> DataFrame:
     """Columns of the line query: the text that is left, and line counts."""
     return dedup_lines(docs.select("doc_id", "text")).select(
-        "doc_id", "text", F.col("n_lines").cast("long"), F.greatest(
-            "n_removed", F.lit(0)).cast("long").alias("n_removed"))
+        "row.doc_id", "text", "n_lines", "n_removed")
 
 
 SQL = f"""

@@ -43,6 +43,8 @@ FOUND = "id long, n long, other long"
 
 def centroids(sample: np.ndarray, many: int, steps: int = 8) -> np.ndarray:
     """Spherical k-means of the sample; starts from its first rows."""
+    if not len(sample):
+        return np.zeros((1, sample.shape[1]))
     centres = sample[:many].copy()
     for _ in range(steps):
         own = (sample @ centres.T).argmax(1)
@@ -184,6 +186,11 @@ def _count(size: int, least: float):
             starts = np.searchsorted(source, np.arange(len(ids) + 1))
             found = range_search(vectors.unit(asked), vectors.unit(rows), starts, place[inside],
                                  least) >= least
+            if len(names) == len(ids) and set(names) == set(ids):
+                # A block searched for its own classes: what one side met counts for both.
+                to = np.argsort(ids)[np.searchsorted(np.sort(ids), names)]
+                square = found[:, to]
+                found[:, to] = square | square.T
             found &= names[:, None] != ids[None, :]
             # A pair counts in the smallest shard that both are in.
             theirs = _shards(block.column("shards"), own)
@@ -268,8 +275,10 @@ def links(reps: DataFrame, least: float, overlap: int) -> DataFrame:
     nodes = nodes.join(F.broadcast(counts), "shard")
     target = nodes.select("shard", "block", "id", "copies", "embedding", "near", "shards", F.explode(
         F.sequence(F.lit(0), F.col("blocks") - 1)).alias("asking"))
-    asking = nodes.select("shard", F.col("block").alias("asking"), "id", "embedding", "shards", F.explode(
-        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    asking = nodes.select(
+        *[F.col(c).alias(n) for c, n in (("shard", "shard"), ("block", "asking"), ("id", "id"),
+                                         ("embedding", "embedding"), ("shards", "shards"))],
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     keys = ("shard", "block", "asking")
     return stored(target.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInArrow(
         _count(size, least), FOUND), "vector-links")

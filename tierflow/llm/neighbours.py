@@ -21,7 +21,7 @@ from tierflow.llm.common import stored
 
 PIVOTS = 256  # a sample of the classes
 LENGTH = 128  # pivots that represent a vector
-OPENED = 0.03  # of a block, at first
+OPENED, OPENED_ROWS = 0.05, 256  # of a block, at first; at least so many rows
 BLOCK_ROWS = 8192
 QUERY_ROWS = 2048
 NEAREST = 5
@@ -65,7 +65,7 @@ def nearest_in_block(query: np.ndarray, rows: np.ndarray, closeness: np.ndarray,
                      want: int, opened: float = OPENED) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers and cosines of the nearest found, larger cosine and smaller id first."""
     order = np.argsort(-closeness, kind="stable")
-    count = min(len(rows), max(4 * want, int(opened * len(rows))))
+    count = min(len(rows), max(OPENED_ROWS, int(opened * len(rows))))
     scores = rows[order[:count]] @ query
     while True:
         best = np.lexsort((ids[order[:count]], -scores))[:want]

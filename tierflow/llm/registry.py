@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tierflow.llm import (chat, encoding, html_text, language, line_dedup, near_vectors, neighbours,
-                          packing, shingle_join)
+                          packing, shingle_join, warc)
 from tierflow.llm.common import ship_package, table
 from tierflow.session import prepare
 
@@ -39,6 +39,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicated_lines(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_derivatives(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.linked_vectors(table(spark, sf_dir, "embeddings"))

@@ -6,12 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierflow.llm import packing
+from tierflow.llm import language, line_dedup, packing, shingle_join
 from tierflow.llm.common import ship_package, stored, table
 from tierflow.llm.registry import tokenizer_path
 from tierflow.session import prepare
 
 
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language; those without letters or without a main language go.
+
+    The model is learned from the labelled documents that are not held out.
+    """
+    return language.keep_labelled(docs, language.fit(docs))
+
+
+def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that repeat an earlier run of lines; none goes."""
+    return line_dedup.renewed_documents(docs)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of similar ones."""
+    return shingle_join.one_of_each(docs)
+
+
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all token pieces of the kept documents in training sequences."""
     return packing.packed_documents(docs, tokenizer_path())
@@ -19,10 +37,13 @@ def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
+    ("language ID", keep_languages),
+    ("line dedup", remove_repeated_lines),
+    ("n-gram Jaccard join", keep_one_of_each),
     ("best-fit packing", pack_documents),
 ]
 
-# Language ID, shingle sets and BPE ids have no DuckDB SQL.
+# Languages learned from the corpus, shingle components and BPE ids have no DuckDB SQL.
 ORACLE_SQL: str | None = None
 
 

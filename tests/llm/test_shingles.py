@@ -80,3 +80,17 @@ def test_union_bound_never_hides_a_member():
         expected = [i for i, s in enumerate(sets[1:]) if 100 * len(np.intersect1d(sets[0], s))
                     >= 80 * len(np.union1d(sets[0], s))]
         assert block.linked(sets[0], 80).tolist() == expected
+
+
+def test_prefixes_of_similar_sets_share_what_is_promised():
+    rng = np.random.default_rng(5)
+    for _ in range(3000):
+        n = int(rng.integers(1, 120))
+        a = np.unique(rng.integers(0, 10**6, n))
+        drop = rng.random(len(a)) < rng.uniform(0, 0.15)
+        b = np.unique(np.concatenate([a[~drop], rng.integers(0, 10**6, int(rng.integers(0, 1 + n // 8)))]))
+        shared = len(np.intersect1d(a, b))
+        if not len(b) or 100 * shared < 80 * len(np.union1d(a, b)):
+            continue
+        (pa, least_a), (pb, least_b) = (shingle_join.prefix_sizes(len(x), 80) for x in (a, b))
+        assert len(np.intersect1d(a[:pa], b[:pb])) >= max(least_a, least_b)

@@ -14,7 +14,6 @@ import re
 import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -200,12 +199,11 @@ class Labeller:
         """(language, share of letters, runs of (language, words)) of each text."""
         if len(self.index) > KEEP:
             self.forget()
-        known = len(self.index)
         at = []
         for text in texts:
             pieces = (text or "").split()
             at.append(np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces)))
-        new = list(islice(self.index, known, None))
+        new = self.index.take()
         if new:
             scores, letters = self.model.piece_scores(new)
             self.scores = np.concatenate([self.scores, scores])

@@ -2,10 +2,10 @@
 
 1. Every text becomes its set of hashed word shingles. Texts with equal sets are
    one class from here on.
-2. Prefix tokens: in one order of all tokens, a set shares with every set that
-   is similar enough at least one of its first n - ceil(t n) + 1 tokens. The
-   order puts tokens of many documents last and is otherwise by hash, so the
-   passages that many documents share rarely count. Any order is right.
+2. Prefix tokens: with tokens in the order of their hashes, two sets that are
+   similar enough share several of their first n - ceil(t n) + l tokens, l being
+   a tenth of n. Classes with fewer tokens there that any other class has are
+   left out; as that takes tokens away from others, this is done again.
 3. Each class joins the group of the smallest class it shares most prefix tokens
    with: groups of similar documents, cut into blocks of bounded size.
 4. A block stores the union of its members' tokens. The matrix, token by block,
@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import components, stored
@@ -36,9 +36,9 @@ WORDS = 5
 PERCENT = 80
 BLOCK_ROWS = 128
 BLOCK_BYTES = 2 << 20
-# Tokens that come last in the order: at least this often, and in this share of the texts of
-# one batch; at most so many of them, the most frequent ones. They only change the order.
-FREQUENT, FREQUENT_SHARE, FREQUENT_TOKENS = 4, 0.001, 100_000
+# Prefix tokens of a set beyond those that make one shared token certain, per cent of its size.
+MORE = 10
+PRUNINGS = 3
 
 KEEP = 600_000  # distinct words a worker remembers
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -62,15 +62,15 @@ class Shingler:
     def sets(self, texts: list[str | None]) -> list[np.ndarray]:
         """Sorted distinct hashes of each text; a text of fewer words is one shingle."""
         if len(self.index) > KEEP:
-            self.index, self.hashes = Numbers(), np.zeros(0, np.uint64)
-        known, at = len(self.index), []
+            self.index = Numbers()
+        at = []
         for text in texts:
             words = (text or "").encode().translate(LOWER).split()
             at.append(np.fromiter(map(self.index.__getitem__, words), np.int64, len(words)))
-        new = list(self.index)[known:] if len(self.index) > known else []
-        if new:
-            self.hashes = np.concatenate([self.hashes, np.array(
-                [xxhash.xxh64_intdigest(w) for w in new], np.uint64)])
+        new, end = self.index.take(), len(self.index)
+        if end > len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros(max(end, 1 << 16), np.uint64)])
+        self.hashes[end - len(new):end] = [xxhash.xxh64_intdigest(w) for w in new]
         return [self._set(self.hashes[x]) for x in at]
 
     def _set(self, words: np.ndarray) -> np.ndarray:
@@ -98,50 +98,31 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def frequent_tokens(docs: DataFrame, words: int) -> np.ndarray:
-    """Sorted tokens of many texts, over all texts: counted by batch, summed in Spark."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = shingler(words)
-        for batch in batches:
-            texts = batch.column(0)
-            sizes = pc.utf8_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
-            for begin, end in slices(sizes, 16 << 20):
-                sets = hashed.sets(texts.slice(begin, end - begin).to_pylist())
-                tokens = np.sort(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
-                first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])[:len(tokens)])
-                counts = np.diff(np.append(first, len(tokens)))
-                often = counts >= max(FREQUENT, FREQUENT_SHARE * len(sets))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(tokens[first[often]].view(np.int64)), pa.array(counts[often], pa.int64())],
-                    ["token", "n"])
+def prefix_sizes(n: int, percent: int) -> tuple[int, int]:
+    """Prefix tokens of a set of n, and how many of them a similar enough set shares at least.
 
-    found = (docs.select("text").mapInArrow(run, "token long, n long").groupBy("token")
-             .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS)
-             .select("token").toArrow())
-    return np.sort(found.column("token").to_numpy().view(np.uint64))
+    The j-th of at least o = least_overlap(n) shared tokens comes among the first
+    n - o + j of the set. The other set has o tokens or more and a prefix made
+    the same way, so the first MORE per cent of o are shared in both prefixes.
+    """
+    overlap = least_overlap(n, percent)
+    return min(n, n - overlap + max(1, MORE * n // 100)), max(1, MORE * overlap // 100)
 
 
 def shingle_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, s1, s2, prefix, bytes) of every row: size, two hashes of
-    the whole set, and its prefix tokens."""
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, words))
+    the whole set, its prefix tokens and the size of the text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed, last = shingler(words), frequent.value
+        hashed = shingler(words)
         for batch in batches:
             texts = batch.column(1)
             sizes = pc.utf8_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
             for begin, end in slices(sizes):
                 part = texts.slice(begin, end - begin)
                 sets = hashed.sets(part.to_pylist())
-                prefixes = []
-                for s in sets:
-                    keep = len(s) - least_overlap(len(s), percent) + 1 if len(s) else 0
-                    is_last = np.zeros(len(s), bool)
-                    if len(last):
-                        is_last = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s
-                    prefixes.append(np.concatenate([s[~is_last], s[is_last]])[:keep].view(np.int64))
+                prefixes = [s[:prefix_sizes(len(s), percent)[0]].view(np.int64) for s in sets]
                 sums = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                 others = np.array([np.bitwise_xor.reduce(mixed(s ^ BASE)) if len(s) else 0
                                    for s in sets], np.uint64).view(np.int64)
@@ -257,9 +238,13 @@ def similar_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     classes = stored(with_text.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("id")),
                      "shingle-classes")
     postings = (with_text.join(classes.select("id"), F.col("doc_id") == F.col("id"), "left_semi")
-                .select(F.col("doc_id").alias("id"), "bytes", F.explode("prefix").alias("token")))
+                .select(F.col("doc_id").alias("id"), F.explode("prefix").alias("token")))
+    sizes = with_text.groupBy(F.col("doc_id").alias("id")).agg(
+        F.min("n_shingles").alias("n"), F.max("bytes").alias("bytes"))
     shared = stored(_shared(postings), "shingle-postings")
-    blocks = stored(_blocks(shared), "shingle-groups")
+    for _ in range(PRUNINGS):
+        shared = stored(_shared(_enough(shared, sizes, percent)), "shingle-postings")
+    blocks = stored(_blocks(shared, sizes), "shingle-groups")
     texts = stored(docs.select(F.col("doc_id").alias("id"), "text")
                    .join(blocks.select("id"), "id", "left_semi"), "shingle-texts")
     first = stored(_links_inside(blocks, texts, words, percent), "shingle-links")
@@ -274,23 +259,34 @@ def similar_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
 
 
 def _shared(postings: DataFrame) -> DataFrame:
-    """Postings of tokens that more than one class has, with the smallest of them.
+    """Postings (token, id) of tokens that more than one class has, with the smallest of them.
 
-    A class posts a token once, so no token has more rows than there are classes.
+    A class posts a token once, so no token has more rows than there are classes,
+    of which each posts hundreds. The window's rows spill if they must.
     """
-    counts = (postings.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-              .where("low <> high").select("token", "low"))
-    return postings.join(counts, "token").select("token", "id", "low", "bytes")
+    own = Window.partitionBy("token")
+    return (postings.select("token", "id", F.min("id").over(own).alias("low"),
+                            F.max("id").over(own).alias("high"))
+            .where("low <> high").drop("high"))
+
+
+def _enough(shared: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Postings of classes that share as many prefix tokens as a similar class would have."""
+    overlap = F.ceil(F.col("n") * percent / 100)
+    few = (shared.groupBy("id").agg(F.count("*").alias("found")).join(sizes, "id")
+           .where(F.col("found") < F.greatest(F.lit(1), F.floor(overlap * MORE / 100))).select("id"))
+    return shared.select("token", "id").join(few, "id", "left_anti")
 
 
-def _blocks(shared: DataFrame) -> DataFrame:
+def _blocks(shared: DataFrame, sizes: DataFrame) -> DataFrame:
     """(id, g, b): each class's group, the leader's id, and its block in the group."""
-    leaders = (shared.groupBy("id", "low").agg(F.count("*").alias("n"), F.max("bytes").alias("bytes"))
+    leaders = (shared.groupBy("id", "low").agg(F.count("*").alias("n"))
                .groupBy("id").agg(F.max(F.struct(
                    # a leader other than the class itself first
                    (F.col("low") < F.col("id")).alias("other"), F.col("n").alias("n"),
-                   (-F.col("low")).alias("minus"))).alias("best"), F.max("bytes").alias("bytes"))
-               .select("id", (-F.col("best.minus")).alias("g"), "bytes"))
+                   (-F.col("low")).alias("minus"))).alias("best"))
+               .select("id", (-F.col("best.minus")).alias("g"))
+               .join(sizes.select("id", "bytes"), "id"))
     leaders = stored(leaders, "shingle-leaders")
     sizes = leaders.groupBy("g").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("blocks"))

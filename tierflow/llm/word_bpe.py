@@ -16,7 +16,6 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
-from itertools import islice
 
 import numpy as np
 import regex
@@ -46,12 +45,22 @@ def byte_letters() -> dict[str, int]:
 
 
 class Numbers(dict):
-    """Numbers keys in the order they first come."""
+    """Numbers keys in the order they first come; ``fresh`` lists those not taken yet."""
 
-    def __missing__(self, key: str) -> int:
+    def __init__(self, items: Iterable[tuple[str, int]] = ()):
+        super().__init__(items)
+        self.fresh: list = []
+
+    def __missing__(self, key: str | bytes) -> int:
         self[key] = number = len(self)
+        self.fresh.append(key)
         return number
 
+    def take(self) -> list:
+        """The keys that came since the last call."""
+        fresh, self.fresh = self.fresh, []
+        return fresh
+
 
 class Borders(dict):
     """Whether two tokens, as first << 20 | second, stay apart when their texts meet."""
@@ -241,7 +250,7 @@ class WordBpe:
         """All ids one after the other, and the number of ids of each text."""
         if len(self.index) > KEEP:
             self.forget()
-        index, before = self.index, len(self.index)
+        index = self.index
         at: list[np.ndarray] = []
         for text in texts:
             text = text or ""
@@ -249,7 +258,7 @@ class WordBpe:
             if SEPARATORS.search(text):
                 pieces = [p for p in pieces if p]
             at.append(np.fromiter(map(index.__getitem__, pieces), np.int64, len(pieces)))
-        new = list(islice(index, before, None))
+        new = index.take()
         if new:
             self._learn(new)
         every = np.concatenate(at) if at else np.zeros(0, np.int64)

@@ -178,7 +178,7 @@ def _search(queries: list, target: Block, ids: np.ndarray, owners: np.ndarray, p
             links.append((query, int(ids[found[i]])))
 
 
-BLOCK = ("g long, b int, ids array<long>, components array<long>, texts array<string>")
+BLOCK = ("g long, b int, ids array<long>, components array<long>, sizes array<long>, tokens binary")
 LINKS = "a long, b long"
 
 
@@ -204,16 +204,37 @@ def _own_links(words: int, percent: int):
     return run
 
 
-def _cross_links(words: int, percent: int):
+def _block_sets(words: int):
+    """Members of blocks with the tokens of all their sets in one buffer."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = shingler(words)
         for batch in batches:
-            for ids, own, texts, ids2, own2, texts2 in zip(*(batch.column(i) for i in range(6))):
-                links: list[tuple[int, int]] = []
-                ids, own, ids2, own2 = (np.array(x.as_py()) for x in (ids, own, ids2, own2))
+            for g, b, ids, own, texts in zip(*(batch.column(i) for i in range(5))):
                 sets = hashed.sets(texts.as_py())
-                target = Block(hashed.sets(texts2.as_py()))
-                _search(list(zip(ids.tolist(), own.tolist(), sets)), target, ids2, own2, percent, links)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([g.as_py()]), pa.array([b.as_py()], pa.int32()), pa.array([ids.as_py()]),
+                    pa.array([own.as_py()]), pa.array([list(map(len, sets))], pa.list_(pa.int64())),
+                    pa.array([np.concatenate(sets).astype("<u8").tobytes()], pa.binary())],
+                    ["g", "b", "ids", "components", "sizes", "tokens"])
+
+    return run
+
+
+def _cross_links(percent: int):
+    def member_sets(sizes: pa.Scalar, tokens: pa.Scalar) -> list[np.ndarray]:
+        flat = np.frombuffer(tokens.as_py(), "<u8")
+        return np.split(flat, np.cumsum(sizes.as_py())[:-1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, target = None, Block([])
+        for batch in batches:
+            for ids, own, sizes, tokens, g, b, ids2, own2, sizes2, tokens2 in zip(
+                    *(batch.column(i) for i in range(10))):
+                links: list[tuple[int, int]] = []
+                if name != (g, b):  # pairs come by their second block
+                    name, target = (g, b), Block(member_sets(sizes2, tokens2))
+                _search(list(zip(ids.as_py(), own.as_py(), member_sets(sizes, tokens))), target,
+                        np.array(ids2.as_py()), np.array(own2.as_py()), percent, links)
                 yield _link_batch(links)
 
     return run
@@ -249,7 +270,7 @@ def similar_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
                    .join(blocks.select("id"), "id", "left_semi"), "shingle-texts")
     first = stored(_links_inside(blocks, texts, words, percent), "shingle-links")
     parts = stored(components(first), "shingle-parts")
-    more = stored(_links_across(shared, blocks, texts, parts, words, percent), "shingle-links")
+    more = stored(_links_across(shared, blocks, sizes, texts, parts, words, percent), "shingle-links")
     final = components(first.union(more)).withColumnRenamed("node", "id")
     own = classes.join(final, "id", "left").select(
         "s1", "s2", "n_shingles", F.coalesce("component", "id").alias("_component"))
@@ -304,37 +325,49 @@ def _links_inside(blocks: DataFrame, texts: DataFrame, words: int, percent: int)
         "leader").mapInArrow(_own_links(words, percent), LINKS)
 
 
-def _links_across(shared: DataFrame, blocks: DataFrame, texts: DataFrame, parts: DataFrame,
-                  words: int, percent: int) -> DataFrame:
-    """Links between components of different blocks that share a prefix token."""
-    owned = blocks.join(parts, blocks.id == parts.node, "left").select(
-        "id", "g", "b", F.coalesce("component", "id").alias("component"))
+def _links_across(shared: DataFrame, blocks: DataFrame, sizes: DataFrame, texts: DataFrame,
+                  parts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between components of different blocks.
+
+    Two blocks are compared if their rows of the matrix have as many tokens in
+    common as a query of either shares at least with a similar enough class.
+    """
+    owned = (blocks.join(parts, blocks.id == parts.node, "left").join(sizes.select("id", "n"), "id")
+             .select("id", "g", "b", F.coalesce("component", "id").alias("component"), "n"))
     owned = stored(owned, "shingle-owned")
+    overlap = F.ceil(F.min("n") * percent / 100)
+    needs = owned.groupBy("g", "b").agg(
+        F.greatest(F.lit(1), F.floor(overlap * MORE / 100)).alias("need"))
     matrix = shared.join(owned, "id").groupBy("token", "g", "b").agg(
         F.min("component").alias("low"), F.max("component").alias("high"))
-    matrix = stored(matrix, "shingle-matrix")
+    matrix = stored(matrix.join(needs, ["g", "b"]), "shingle-matrix")
     open_tokens = (matrix.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"),
                                                F.count("*").alias("n"))
                    .where("low <> high and n > 1").select("token"))
-    rows = matrix.join(open_tokens, "token", "left_semi")
-    left, right = (rows.select("token", *[F.col(c).alias(c + s) for c in ("g", "b", "low", "high")])
+    rows = stored(matrix.join(open_tokens, "token", "left_semi"), "shingle-matrix")
+    left, right = (rows.select("token", *[F.col(c).alias(c + s)
+                                          for c in ("g", "b", "low", "high", "need")])
                    for s in ("1", "2"))
     pairs = (left.join(right, "token")
              .where("(g1 < g2 or g1 = g2 and b1 < b2)"
                     " and (low1 <> high1 or low2 <> high2 or low1 <> low2)")
-             .select("g1", "b1", "g2", "b2").distinct())
+             .groupBy("g1", "b1", "g2", "b2").agg(
+                 F.count("*").alias("found"), F.max(F.greatest("need1", "need2")).alias("need"))
+             .where("found >= need").select("g1", "b1", "g2", "b2"))
     pairs = stored(pairs, "shingle-pairs")
     needed = pairs.select(F.col("g1").alias("g"), F.col("b1").alias("b")).union(
         pairs.select("g2", "b2")).distinct()
-    filled = stored(
-        owned.join(needed, ["g", "b"], "left_semi").join(texts, "id").groupBy("g", "b")
-        .agg(F.collect_list(F.struct("id", "component", "text")).alias("m")), "shingle-blocks")
-    left, right = (filled.select(F.col("g").alias("g" + s), F.col("b").alias("b" + s),
-                                 F.col("m").alias("m" + s)) for s in ("1", "2"))
+    filled = (owned.join(needed, ["g", "b"], "left_semi").join(texts, "id").groupBy("g", "b")
+              .agg(F.collect_list(F.struct("id", "component", "text")).alias("m"))
+              .select("g", "b", "m.id", "m.component", "m.text")
+              .mapInArrow(_block_sets(words), BLOCK))
+    filled = stored(filled, "shingle-blocks")
+    columns = ("ids", "components", "sizes", "tokens")
+    left, right = (filled.select(*[F.col(c).alias(c + s) for c in ("g", "b", *columns)])
+                   for s in ("1", "2"))
     return (pairs.join(left, ["g1", "b1"]).join(right, ["g2", "b2"])
-            .select("m1.id", "m1.component", "m1.text", F.col("m2.id").alias("id2"),
-                    F.col("m2.component").alias("component2"), F.col("m2.text").alias("text2"))
-            .mapInArrow(_cross_links(words, percent), LINKS))
+            .select(*[c + "1" for c in columns], "g2", "b2", *[c + "2" for c in columns])
+            .mapInArrow(_cross_links(percent), LINKS))
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

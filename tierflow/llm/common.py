@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,23 +18,40 @@ MAX_ROUNDS = 60  # of component search; paths of 2**60 links never occur
 
 
 _SHIPPED: set[str] = set()
+_CACHE: dict[Any, Any] = {}
+
+
+def worker_cache(key: Any, build: Callable[[], Any]) -> Any:
+    """What a Python worker keeps between tasks: one operator's memory, the last one's.
+
+    Workers serve one operator after the other, so another key drops the rest.
+    """
+    if key not in _CACHE:
+        _CACHE.clear()
+        _CACHE[key] = build()
+    return _CACHE[key]
 
 
 def ship_package(spark: SparkSession) -> None:
     """Give the package to the executors' Python, unless their search path has it.
 
-    The driver serves the archive to executors; nothing reads its local copy.
+    The archive lies in the shared folder; executors fetch it from there.
     """
     package = Path(__file__).resolve().parents[1]
     application = spark.sparkContext.applicationId
     if str(package.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
         return
     if application not in _SHIPPED:
-        archive = os.path.join(tempfile.mkdtemp(prefix="tierflow-package-"), "tierflow.zip")
+        archive = io.BytesIO()
         with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as file:
             for source in sorted(package.rglob("*.py")):
                 file.write(source, source.relative_to(package.parent))
-        spark.sparkContext.addPyFile(archive)
+        target = f"{scratch_path(spark, 'package')}/tierflow.zip"
+        path = spark._jvm.org.apache.hadoop.fs.Path(target)
+        stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+        stream.write(bytearray(archive.getvalue()))
+        stream.close()
+        spark.sparkContext.addPyFile(target)
         _SHIPPED.add(application)
 
 

@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.llm.common import worker_cache
 from tierflow.llm.word_bpe import Numbers, slices
 
 # The letter model is fitted on at most about this many labelled rows, chosen by a hash of doc_id.
@@ -31,7 +32,7 @@ SWITCH = 12.0  # what a change of language costs, as a difference of log probabi
 SMOOTH = 0.5
 SCRIPT_SHARE = 0.01  # of a language's letters, for a script to be one of its own
 FORBIDDEN = 60.0  # what a word of a script that is not the language's costs
-KEEP = 500_000  # distinct pieces a worker remembers
+KEEP = 300_000  # distinct pieces a worker remembers
 CELLS = 400_000  # texts x words of one best-path batch
 
 LEAST_SCORE = 0.5  # a text whose language has a smaller share of its letters is rejected
@@ -260,15 +261,11 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> list[tuple[str, str, int]]:
 
 LABELLED = ("key {key}, lang_pred string, score double, "
             "spans array<struct<lang:string,words:long>>")
-_LABELLERS: dict[str, Labeller] = {}
 
 
 def _labeller(name: str, triples: list[tuple[str, str, int]]) -> Labeller:
     """The worker's labeller of a model."""
-    if name not in _LABELLERS:
-        _LABELLERS.clear()
-        _LABELLERS[name] = Labeller(LetterModel(triples))
-    return _LABELLERS[name]
+    return worker_cache(("language", name), lambda: Labeller(LetterModel(triples)))
 
 
 def _text_slices(texts: pa.Array) -> Iterator[tuple[int, int]]:

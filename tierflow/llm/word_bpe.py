@@ -13,6 +13,7 @@ normalised and encoded once for all its occurrences in a worker.
 
 from __future__ import annotations
 
+import gc
 import json
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
@@ -21,6 +22,8 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
+from tierflow.llm.common import worker_cache
+
 WORD_END = "</w>"
 NEVER = 1 << 40
 # Pieces of these characters follow the pre-tokenizer's pattern in Python too;
@@ -31,8 +34,8 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 # str.split() also splits at these four, which are not white space in Unicode.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
 SPACES = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
-SLICE_BYTES = 8 << 20  # text encoded at once
-KEEP = 600_000  # distinct pieces a worker remembers
+SLICE_BYTES = 4 << 20  # text encoded at once
+KEEP = 400_000  # distinct pieces a worker remembers
 MEMO = 1_000_000  # token pairs a worker remembers
 
 
@@ -185,15 +188,14 @@ class WordBpe:
 
     def words_of(self, piece: str) -> list[bytes | int]:
         """The words of a piece without white space; special tokens as their ids."""
-        if piece.isascii():
-            if piece.isalpha():
-                return [piece.lower().encode()]
-            if piece[:-1].isalpha() and piece[-1] in ",.":
-                return [piece[:-1].lower().encode(), piece[-1:].encode()]
-        if PLAIN.fullmatch(piece):
-            if "<|" in piece:
-                return self._with_special(piece)
-            lower = "".join(map(str.lower, unicodedata.normalize("NFC", piece)))
+        last = piece[-1]
+        body = piece if last.isalpha() else piece[:-1]
+        # Letters below U+0250 are composed, lower alone, and one word for the pattern.
+        lower = body.lower()
+        if lower.isalpha() and max(lower) < "ɐ" and (body is piece or last in ",.;:!?"):
+            return [lower.encode()] if body is piece else [lower.encode(), last.encode()]
+        if PLAIN.fullmatch(piece) and "<|" not in piece:
+            lower = unicodedata.normalize("NFC", piece).lower()
             return [w.encode() for w in WORDS.findall(lower)]
         return self._with_special(piece)
 
@@ -248,6 +250,16 @@ class WordBpe:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each text."""
+        # Many small lists and no cycles: the collector would only walk them.
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.index) > KEEP:
             self.forget()
         index = self.index
@@ -300,11 +312,6 @@ def slices(sizes: Iterable, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
         yield begin, i + 1
 
 
-_ENCODERS: dict[str, WordBpe] = {}
-
-
 def encoder(path: str) -> WordBpe:
-    """The worker's encoder of a tokenizer file, read once a process."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordBpe(path)
-    return _ENCODERS[path]
+    """The worker's encoder of a tokenizer file."""
+    return worker_cache(("bpe", path), lambda: WordBpe(path))

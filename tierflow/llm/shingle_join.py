@@ -5,7 +5,7 @@
 2. Prefix tokens: with tokens in the order of their hashes, two sets that are
    similar enough share several of their first n - ceil(t n) + l tokens, l being
    a tenth of n. Classes with fewer tokens there that any other class has are
-   left out; as that takes tokens away from others, this is done again.
+   left out.
 3. Each class joins the group of the smallest class it shares most prefix tokens
    with: groups of similar documents, cut into blocks of bounded size.
 4. A block stores the union of its members' tokens. The matrix, token by block,
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import components, stored
+from tierflow.llm.common import components, stored, worker_cache
 from tierflow.llm.word_bpe import Numbers, slices
 
 WORDS = 5
@@ -38,9 +38,8 @@ BLOCK_ROWS = 128
 BLOCK_BYTES = 2 << 20
 # Prefix tokens of a set beyond those that make one shared token certain, per cent of its size.
 MORE = 10
-PRUNINGS = 3
 
-KEEP = 600_000  # distinct words a worker remembers
+KEEP = 400_000  # distinct words a worker remembers
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -62,7 +61,7 @@ class Shingler:
     def sets(self, texts: list[str | None]) -> list[np.ndarray]:
         """Sorted distinct hashes of each text; a text of fewer words is one shingle."""
         if len(self.index) > KEEP:
-            self.index = Numbers()
+            self.index, self.hashes = Numbers(), np.zeros(0, np.uint64)
         at = []
         for text in texts:
             words = (text or "").encode().translate(LOWER).split()
@@ -85,12 +84,9 @@ class Shingler:
         return np.unique(mixed(shingles + np.uint64(size)))
 
 
-_SHINGLERS: dict[int, Shingler] = {}
-
-
 def shingler(words: int) -> Shingler:
     """The worker's shingler."""
-    return _SHINGLERS.setdefault(words, Shingler(words))
+    return worker_cache(("shingles", words), lambda: Shingler(words))
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -111,7 +107,8 @@ def prefix_sizes(n: int, percent: int) -> tuple[int, int]:
 
 def shingle_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, s1, s2, prefix, bytes) of every row: size, two hashes of
-    the whole set, its prefix tokens and the size of the text."""
+    the whole set, its prefix tokens and the size of the text. Of equal sets that
+    one slice of texts holds the first alone has its prefix."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,10 +119,12 @@ def shingle_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
             for begin, end in slices(sizes):
                 part = texts.slice(begin, end - begin)
                 sets = hashed.sets(part.to_pylist())
-                prefixes = [s[:prefix_sizes(len(s), percent)[0]].view(np.int64) for s in sets]
                 sums = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                 others = np.array([np.bitwise_xor.reduce(mixed(s ^ BASE)) if len(s) else 0
                                    for s in sets], np.uint64).view(np.int64)
+                own = set(np.unique(sums, return_index=True)[1].tolist())
+                prefixes = [s[:prefix_sizes(len(s), percent)[0] if i in own else 0].view(np.int64)
+                            for i, s in enumerate(sets)]
                 ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
                 flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([
@@ -256,21 +255,20 @@ def similar_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     """
     sets = stored(shingle_sets(docs, words, percent), "shingle-sets")
     with_text = sets.where("n_shingles > 0 and doc_id is not null")
-    classes = stored(with_text.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("id")),
-                     "shingle-classes")
-    postings = (with_text.join(classes.select("id"), F.col("doc_id") == F.col("id"), "left_semi")
-                .select(F.col("doc_id").alias("id"), F.explode("prefix").alias("token")))
-    sizes = with_text.groupBy(F.col("doc_id").alias("id")).agg(
-        F.min("n_shingles").alias("n"), F.max("bytes").alias("bytes"))
+    classes = stored(with_text.groupBy("s1", "s2", "n_shingles").agg(
+        F.min("doc_id").alias("id"), F.max("bytes").alias("bytes")), "shingle-classes")
+    # Postings name a class by its first hash, so equal sets are one without a join.
+    sizes = classes.groupBy(F.col("s1").alias("key")).agg(F.min("n_shingles").alias("n"))
+    postings = with_text.select(F.col("s1").alias("key"), F.explode("prefix").alias("token"))
     shared = stored(_shared(postings), "shingle-postings")
-    for _ in range(PRUNINGS):
-        shared = stored(_shared(_enough(shared, sizes, percent)), "shingle-postings")
-    blocks = stored(_blocks(shared, sizes), "shingle-groups")
+    shared = stored(_shared(_enough(shared, sizes, percent)).distinct(), "shingle-postings")
+    named = classes.select(F.col("s1").alias("key"), "id", F.col("n_shingles").alias("n"), "bytes")
+    blocks = stored(_blocks(shared, named), "shingle-groups")
     texts = stored(docs.select(F.col("doc_id").alias("id"), "text")
                    .join(blocks.select("id"), "id", "left_semi"), "shingle-texts")
     first = stored(_links_inside(blocks, texts, words, percent), "shingle-links")
     parts = stored(components(first), "shingle-parts")
-    more = stored(_links_across(shared, blocks, sizes, texts, parts, words, percent), "shingle-links")
+    more = stored(_links_across(shared, blocks, texts, parts, words, percent), "shingle-links")
     final = components(first.union(more)).withColumnRenamed("node", "id")
     own = classes.join(final, "id", "left").select(
         "s1", "s2", "n_shingles", F.coalesce("component", "id").alias("_component"))
@@ -280,65 +278,69 @@ def similar_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
 
 
 def _shared(postings: DataFrame) -> DataFrame:
-    """Postings (token, id) of tokens that more than one class has, with the smallest of them.
+    """Postings (token, key) of tokens that more than one class has, with the smallest of them.
 
-    A class posts a token once, so no token has more rows than there are classes,
-    of which each posts hundreds. The window's rows spill if they must.
+    A class posts a token once for each slice of texts, and hundreds of tokens
+    besides, so one token has a small part of the rows. The window's rows spill
+    if they must.
     """
     own = Window.partitionBy("token")
-    return (postings.select("token", "id", F.min("id").over(own).alias("low"),
-                            F.max("id").over(own).alias("high"))
+    return (postings.select("token", "key", F.min("key").over(own).alias("low"),
+                            F.max("key").over(own).alias("high"))
             .where("low <> high").drop("high"))
 
 
 def _enough(shared: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Postings of classes that share as many prefix tokens as a similar class would have."""
+    """Postings of classes that share as many prefix tokens as a similar class would have.
+
+    Tokens posted by several slices count more than once, which keeps a class.
+    """
     overlap = F.ceil(F.col("n") * percent / 100)
-    few = (shared.groupBy("id").agg(F.count("*").alias("found")).join(sizes, "id")
-           .where(F.col("found") < F.greatest(F.lit(1), F.floor(overlap * MORE / 100))).select("id"))
-    return shared.select("token", "id").join(few, "id", "left_anti")
+    few = (shared.groupBy("key").agg(F.count("*").alias("found")).join(sizes, "key")
+           .where(F.col("found") < F.greatest(F.lit(1), F.floor(overlap * MORE / 100))).select("key"))
+    return shared.select("token", "key").join(few, "key", "left_anti")
 
 
-def _blocks(shared: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(id, g, b): each class's group, the leader's id, and its block in the group."""
-    leaders = (shared.groupBy("id", "low").agg(F.count("*").alias("n"))
-               .groupBy("id").agg(F.max(F.struct(
+def _blocks(shared: DataFrame, named: DataFrame) -> DataFrame:
+    """(key, id, n, g, leader, b): each class's group, that of the leader, and its block there."""
+    leaders = (shared.groupBy("key", "low").agg(F.count("*").alias("found"))
+               .groupBy("key").agg(F.max(F.struct(
                    # a leader other than the class itself first
-                   (F.col("low") < F.col("id")).alias("other"), F.col("n").alias("n"),
-                   (-F.col("low")).alias("minus"))).alias("best"))
-               .select("id", (-F.col("best.minus")).alias("g"))
-               .join(sizes.select("id", "bytes"), "id"))
+                   (F.col("low") < F.col("key")).alias("other"), F.col("found").alias("found"),
+                   F.col("low").alias("low"))).alias("best"))
+               .select("key", F.col("best.low").alias("g")).join(named, "key"))
     leaders = stored(leaders, "shingle-leaders")
     sizes = leaders.groupBy("g").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("blocks"))
-    return leaders.join(sizes, "g").select(
-        "id", "g", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("b"))
+    leader = named.groupBy(F.col("key").alias("g")).agg(F.min("id").alias("leader"))
+    return leaders.join(sizes, "g").join(leader, "g").select(
+        "key", "id", "n", "g", "leader", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("b"))
 
 
 def _links_inside(blocks: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links that connect what is connected inside each block together with its leader."""
-    members = (blocks.join(texts, "id").groupBy("g", "b")
+    members = (blocks.join(texts, "id").groupBy("g", "b", "leader")
                .agg(F.collect_list(F.struct("id", "text")).alias("members")))
-    leader = texts.select(F.col("id").alias("g"), F.col("text").alias("leader"))
-    return members.join(leader, "g").select(
-        F.col("members.id").alias("ids"), F.col("members.text").alias("texts"), "g",
-        "leader").mapInArrow(_own_links(words, percent), LINKS)
+    leader = texts.select(F.col("id").alias("leader"), F.col("text").alias("leading"))
+    return members.join(leader, "leader").select(
+        F.col("members.id").alias("ids"), F.col("members.text").alias("texts"), "leader",
+        "leading").mapInArrow(_own_links(words, percent), LINKS)
 
 
-def _links_across(shared: DataFrame, blocks: DataFrame, sizes: DataFrame, texts: DataFrame,
-                  parts: DataFrame, words: int, percent: int) -> DataFrame:
+def _links_across(shared: DataFrame, blocks: DataFrame, texts: DataFrame, parts: DataFrame,
+                  words: int, percent: int) -> DataFrame:
     """Links between components of different blocks.
 
     Two blocks are compared if their rows of the matrix have as many tokens in
     common as a query of either shares at least with a similar enough class.
     """
-    owned = (blocks.join(parts, blocks.id == parts.node, "left").join(sizes.select("id", "n"), "id")
-             .select("id", "g", "b", F.coalesce("component", "id").alias("component"), "n"))
+    owned = blocks.join(parts, blocks.id == parts.node, "left").select(
+        "key", "id", "g", "b", F.coalesce("component", "id").alias("component"), "n")
     owned = stored(owned, "shingle-owned")
     overlap = F.ceil(F.min("n") * percent / 100)
     needs = owned.groupBy("g", "b").agg(
         F.greatest(F.lit(1), F.floor(overlap * MORE / 100)).alias("need"))
-    matrix = shared.join(owned, "id").groupBy("token", "g", "b").agg(
+    matrix = shared.join(owned, "key").groupBy("token", "g", "b").agg(
         F.min("component").alias("low"), F.max("component").alias("high"))
     matrix = stored(matrix.join(needs, ["g", "b"]), "shingle-matrix")
     open_tokens = (matrix.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"),

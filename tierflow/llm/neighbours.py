@@ -21,7 +21,7 @@ from tierflow.llm.common import stored
 
 PIVOTS = 256  # a sample of the classes
 LENGTH = 128  # pivots that represent a vector
-OPENED, OPENED_ROWS = 0.05, 256  # of a block, at first; at least so many rows
+OPENED, OPENED_ROWS = 0.2, 256  # of a block, at first; at least so many rows
 BLOCK_ROWS = 8192
 QUERY_ROWS = 2048
 NEAREST = 5

@@ -36,6 +36,7 @@ WORDS = 5
 PERCENT = 80
 BLOCK_ROWS = 128
 BLOCK_BYTES = 2 << 20
+FILTER_BITS = 1 << 23
 # Prefix tokens of a set beyond those that make one shared token certain, per cent of its size.
 MORE = 10
 
@@ -185,9 +186,9 @@ def _own_links(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = shingler(words)
         for batch in batches:
-            for ids, texts, leader, text in zip(*(batch.column(i) for i in range(4))):
-                sets = hashed.sets([*texts.as_py(), text.as_py()])
-                ids = np.array([*ids.as_py(), leader.as_py()])
+            for ids, texts in zip(batch.column(0), batch.column(1)):
+                sets = hashed.sets(texts.as_py())
+                ids = np.array(ids.as_py())
                 links: list[tuple[int, int]] = []
                 # Components inside the block: a member joins what it links with.
                 root = np.arange(len(ids))
@@ -264,8 +265,8 @@ def similar_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     shared = stored(_shared(_enough(shared, sizes, percent)).distinct(), "shingle-postings")
     named = classes.select(F.col("s1").alias("key"), "id", F.col("n_shingles").alias("n"), "bytes")
     blocks = stored(_blocks(shared, named), "shingle-groups")
-    texts = stored(docs.select(F.col("doc_id").alias("id"), "text")
-                   .join(blocks.select("id"), "id", "left_semi"), "shingle-texts")
+    texts = stored(_texts_of(docs.select(F.col("doc_id").alias("id"), "text"), blocks.select("id")),
+                   "shingle-texts")
     first = stored(_links_inside(blocks, texts, words, percent), "shingle-links")
     parts = stored(components(first), "shingle-parts")
     more = stored(_links_across(shared, blocks, texts, parts, words, percent), "shingle-links")
@@ -317,14 +318,31 @@ def _blocks(shared: DataFrame, named: DataFrame) -> DataFrame:
         "key", "id", "n", "g", "leader", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("b"))
 
 
+def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows (id, text) of the given ids.
+
+    A table of FILTER_BITS bits of hashed ids, at most FILTER_BITS / 64 rows
+    whatever the input, is broadcast and lets most other texts go before the
+    shuffle of the exact join.
+    """
+    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    bits = ids.distinct().select(bit.alias("bit")).groupBy((F.col("bit") / 64).cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
+    near = (texts.withColumn("bit", bit).withColumn("word", (F.col("bit") / 64).cast("int"))
+            .join(F.broadcast(bits), "word")
+            .where(F.expr("shiftrightunsigned(bits, cast(bit % 64 as int)) & 1L = 1L"))
+            .select("id", "text"))
+    return near.join(ids, "id", "left_semi")
+
+
 def _links_inside(blocks: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links that connect what is connected inside each block together with its leader."""
-    members = (blocks.join(texts, "id").groupBy("g", "b", "leader")
-               .agg(F.collect_list(F.struct("id", "text")).alias("members")))
-    leader = texts.select(F.col("id").alias("leader"), F.col("text").alias("leading"))
-    return members.join(leader, "leader").select(
-        F.col("members.id").alias("ids"), F.col("members.text").alias("texts"), "leader",
-        "leading").mapInArrow(_own_links(words, percent), LINKS)
+    members = blocks.select("id", "g", "b").union(
+        blocks.select(F.col("leader").alias("id"), "g", "b")).distinct()
+    filled = members.join(texts, "id").groupBy("g", "b").agg(
+        F.collect_list(F.struct("id", "text")).alias("members"))
+    return filled.select(F.col("members.id").alias("ids"), F.col("members.text").alias("texts")).mapInArrow(
+        _own_links(words, percent), LINKS)
 
 
 def _links_across(shared: DataFrame, blocks: DataFrame, texts: DataFrame, parts: DataFrame,
@@ -339,18 +357,19 @@ def _links_across(shared: DataFrame, blocks: DataFrame, texts: DataFrame, parts:
     owned = stored(owned, "shingle-owned")
     overlap = F.ceil(F.min("n") * percent / 100)
     needs = owned.groupBy("g", "b").agg(
-        F.greatest(F.lit(1), F.floor(overlap * MORE / 100)).alias("need"))
-    matrix = shared.join(owned, "key").groupBy("token", "g", "b").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"))
-    matrix = stored(matrix.join(needs, ["g", "b"]), "shingle-matrix")
-    open_tokens = (matrix.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"),
-                                               F.count("*").alias("n"))
-                   .where("low <> high and n > 1").select("token"))
-    rows = stored(matrix.join(open_tokens, "token", "left_semi"), "shingle-matrix")
-    left, right = (rows.select("token", *[F.col(c).alias(c + s)
-                                          for c in ("g", "b", "low", "high", "need")])
-                   for s in ("1", "2"))
-    pairs = (left.join(right, "token")
+        F.greatest(F.lit(1), F.floor(overlap * MORE / 100)).cast("int").alias("need"))
+    entries = owned.select("key", "g", "b", "component").join(needs, ["g", "b"])
+    # Dealt by token once: the matrix, its open tokens and their pairs all need just that.
+    matrix = (shared.select("token", "key").join(entries, "key").drop("key").repartition("token")
+              .groupBy("token", "g", "b", "need").agg(F.min("component").alias("low"),
+                                                      F.max("component").alias("high")))
+    own = Window.partitionBy("token")
+    rows = (matrix.withColumn("least", F.min("low").over(own)).withColumn("most", F.max("high").over(own))
+            .withColumn("blocks", F.count("*").over(own))
+            .where("least <> most and blocks > 1").drop("least", "most", "blocks"))
+    left, right = (rows.select(F.col("token").alias("token" + s), *[
+        F.col(c).alias(c + s) for c in ("g", "b", "low", "high", "need")]) for s in ("1", "2"))
+    pairs = (left.join(right, F.col("token1") == F.col("token2"))
              .where("(g1 < g2 or g1 = g2 and b1 < b2)"
                     " and (low1 <> high1 or low2 <> high2 or low1 <> low2)")
              .groupBy("g1", "b1", "g2", "b2").agg(

@@ -261,7 +261,7 @@ def similar_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     # Postings name a class by its first hash, so equal sets are one without a join.
     sizes = classes.groupBy(F.col("s1").alias("key")).agg(F.min("n_shingles").alias("n"))
     postings = with_text.select(F.col("s1").alias("key"), F.explode("prefix").alias("token"))
-    shared = stored(_shared(postings), "shingle-postings")
+    shared = stored(_shared(postings).drop("low"), "shingle-postings")
     shared = stored(_shared(_enough(shared, sizes, percent)).distinct(), "shingle-postings")
     named = classes.select(F.col("s1").alias("key"), "id", F.col("n_shingles").alias("n"), "bytes")
     blocks = stored(_blocks(shared, named), "shingle-groups")
@@ -357,20 +357,22 @@ def _links_across(shared: DataFrame, blocks: DataFrame, texts: DataFrame, parts:
     owned = stored(owned, "shingle-owned")
     overlap = F.ceil(F.min("n") * percent / 100)
     needs = owned.groupBy("g", "b").agg(
-        F.greatest(F.lit(1), F.floor(overlap * MORE / 100)).cast("int").alias("need"))
+        F.greatest(F.lit(1), F.floor(overlap * MORE / 100)).cast("int").alias("need"),
+        F.sum("n").alias("size"))
     entries = owned.select("key", "g", "b", "component").join(needs, ["g", "b"])
     # Dealt by token once: the matrix, its open tokens and their pairs all need just that.
     matrix = (shared.select("token", "key").join(entries, "key").drop("key").repartition("token")
-              .groupBy("token", "g", "b", "need").agg(F.min("component").alias("low"),
+              .groupBy("token", "g", "b", "need", "size").agg(F.min("component").alias("low"),
                                                       F.max("component").alias("high")))
     own = Window.partitionBy("token")
     rows = (matrix.withColumn("least", F.min("low").over(own)).withColumn("most", F.max("high").over(own))
             .withColumn("blocks", F.count("*").over(own))
             .where("least <> most and blocks > 1").drop("least", "most", "blocks"))
     left, right = (rows.select(F.col("token").alias("token" + s), *[
-        F.col(c).alias(c + s) for c in ("g", "b", "low", "high", "need")]) for s in ("1", "2"))
+        F.col(c).alias(c + s) for c in ("g", "b", "low", "high", "need", "size")]) for s in ("1", "2"))
+    # The smaller block is the one that travels to the other.
     pairs = (left.join(right, F.col("token1") == F.col("token2"))
-             .where("(g1 < g2 or g1 = g2 and b1 < b2)"
+             .where("struct(size1, g1, b1) < struct(size2, g2, b2)"
                     " and (low1 <> high1 or low2 <> high2 or low1 <> low2)")
              .groupBy("g1", "b1", "g2", "b2").agg(
                  F.count("*").alias("found"), F.max(F.greatest("need1", "need2")).alias("need"))

@@ -37,6 +37,39 @@ def test_odd_markup(source, text):
     assert text_of(source) == text
 
 
+LONG, SHORT = "word " * 399 + "word", "Lead " * 7 + "Lead"
+
+
+@pytest.mark.parametrize("source, text", [
+    (f"<article><h1>{SHORT}</h1><div class='entry-content'>{LONG}</div></article>", f"{SHORT}\n{LONG}"),
+    (f"<article><section class='a'>{LONG}</section><section class='b'>{SHORT}</section></article>",
+     f"{LONG}\n{SHORT}"),
+    (f"<article><p>{SHORT}</p><table><tr><td>{LONG}</td></tr></table></article>", f"{SHORT}\n{LONG}"),
+    (f"<main><h1>{SHORT}</h1><div><article><div class='c'>{LONG}</div></article></div></main>",
+     f"{SHORT}\n{LONG}"),
+    (f"<div class='post'><h1>{SHORT}</h1><div><div class='c'><p>{LONG}</p></div></div></div>"
+     "<div class='x'>box</div>", f"{SHORT}\n{LONG}"),
+    (f"<body><section>{LONG}</section><section>{SHORT}</section><div>box</div></body>", f"{LONG}\n{SHORT}\nbox"),
+    (f"<body><h1>{SHORT}</h1><div class='c'>{LONG}</div></body>", f"{SHORT}\n{LONG}"),
+    (f"<div><div class='c'>{LONG}</div><ul><li><a href='x'>{SHORT}</a></li></ul></div>", LONG),
+    (f"<div class='x'><p>box</p></div><article><br>{LONG}</article>", LONG),
+])
+def test_whole_article_around_the_best_container(frame, source, text):
+    assert text_of(source) == text
+    rows = [(i, "http://h/" + str(i), source) for i in range(3)]
+    assert {r.text for r in html_text.extract_pages(
+        frame("page_id long, url string, html string", *rows)).collect()} == {text}
+
+
+def test_host_path_of_inner_containers_keeps_other_pages_whole(frame):
+    inner = f"<div class='post'><div class='c'>{LONG}</div></div>"
+    rows = [(i, "http://h/" + str(i), inner) for i in range(3)]
+    rows.append((3, "http://h/3", inner.replace("<div class='c'>", f"<h1>{SHORT}</h1><div class='c'>")))
+    got = {r.page_id: r.text for r in html_text.extract_pages(
+        frame("page_id long, url string, html string", *rows)).collect()}
+    assert got == {0: LONG, 1: LONG, 2: LONG, 3: f"{SHORT}\n{LONG}"}
+
+
 def test_host_path_wins_over_a_page_of_its_own(frame):
     def page(body):
         return f"<body>{body}</body>"

@@ -1,10 +1,10 @@
 """Main text of pages by host-wide consensus on the container that holds it (operator 9).
 
 Each page scores its containers by the text of their blocks that is not linked;
-the best one votes for its path: tags and classes from the body down, digits
-generalised. The path with most votes of a host wins, and all pages of the host
-are read again through it. A page without that path, or without text under it,
-is read through its own best container.
+the container that holds the best one's whole article votes for its path: tags
+and classes from the body down, digits generalised. The path with most votes of
+a host wins, and all pages of the host are read again through it. A page without
+that path, or without text under it, is read through its own best container.
 """
 
 from __future__ import annotations
@@ -69,41 +69,76 @@ class Element:
 
 @dataclass
 class Page:
-    """Containers (path, parent, score, linked and all characters) and blocks of a page."""
+    """Containers (path, parent, score, linked and all characters) and blocks of a page.
+
+    ``content`` are the characters of blocks that are mostly not linked.
+    """
 
     paths: list[str] = field(default_factory=lambda: ["body"])
     parents: list[int] = field(default_factory=lambda: [-1])
     scores: list[float] = field(default_factory=lambda: [0.0])
     linked: list[int] = field(default_factory=lambda: [0])
     chars: list[int] = field(default_factory=lambda: [0])
+    content: list[int] = field(default_factory=lambda: [0])
     blocks: list[tuple[int, str]] = field(default_factory=list)
 
     def add_block(self, container: int, text: str, linked: int) -> None:
         """A block's unlinked text counts fully for its container, less further up."""
         self.blocks.append((container, text))
         own, share = max(0, len(text) - linked), 1.0
+        content = len(text) if own > linked else 0
         while container >= 0:
             self.scores[container] += own * share
             self.chars[container] += len(text)
             self.linked[container] += linked
+            self.content[container] += content
             share *= 0.5
             container = self.parents[container]
 
+    def name(self, at: int) -> str:
+        """Tag of a container."""
+        return self.paths[at].rpartition(">")[2].partition(".")[0]
+
+    def whole(self, at: int) -> int:
+        """The container of the whole article of which ``at`` is a part.
+
+        That is the outermost article or main around it. Without one it is the
+        highest container that adds text outside links; the body adds only what
+        lies in it directly and, to a section, other sections.
+        """
+        above = [at]
+        while above[-1] > 0:
+            above.append(self.parents[above[-1]])
+        for i in reversed(above):
+            if self.name(i) in ("article", "main"):
+                return i
+        for i, parent in zip(above, above[1:]):
+            if parent:
+                adds = self.content[parent] > self.content[i]
+            else:
+                adds = self.content[0] > sum(
+                    self.content[j] for j in range(1, len(self.paths)) if not self.parents[j]
+                    and not (self.name(i) == "section" == self.name(j) and i != j))
+            if adds:
+                at = parent
+        return at
+
     def best(self) -> tuple[str, int]:
-        """Path and score of the best container; of equals the first."""
+        """Path of the best container's whole article, and the container's score; of equals the first."""
         score, at = -1.0, 0
         for i, value in enumerate(self.scores):
-            weight = 1.5 if self.paths[i].rpartition(">")[2].startswith(("article", "main")) else 1.0
+            weight = 1.5 if self.name(i) in ("article", "main") else 1.0
             value *= weight * (1 - self.linked[i] / self.chars[i]) if self.chars[i] else 0
             if value > score:
                 score, at = value, i
-        return self.paths[at], round(score)
+        return self.paths[self.whole(at)], round(score)
 
     def text(self, path: str) -> str:
-        """Blocks under all containers of the path, in page order."""
+        """Blocks of the whole articles of all containers of the path, in page order."""
+        roots = {self.whole(i) for i, own in enumerate(self.paths) if own == path}
         inside: list[bool] = []
-        for own, parent in zip(self.paths, self.parents):
-            inside.append(own == path or parent >= 0 and inside[parent])
+        for i, parent in enumerate(self.parents):
+            inside.append(i in roots or parent >= 0 and inside[parent])
         return "\n".join(text for container, text in self.blocks if inside[container])
 
 
@@ -179,7 +214,7 @@ def read_page(source: str) -> Page:
             continue
         if name in BLOCKS:
             flush()
-        elif name in ("br", "td", "th"):
+        elif parts and name in ("br", "td", "th"):
             parts.append(" ")
         if found[1] or found[4]:
             close((name,), frozenset() if name in SCOPE else SCOPE)
@@ -207,6 +242,7 @@ def read_page(source: str) -> Page:
             page.scores.append(0.0)
             page.linked.append(0)
             page.chars.append(0)
+            page.content.append(0)
             inside = len(page.paths) - 1
         stack.append(Element(name, inside, other, above.link or name == "a", article))
     flush()

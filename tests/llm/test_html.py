@@ -61,6 +61,29 @@ def test_whole_article_around_the_best_container(frame, source, text):
         frame("page_id long, url string, html string", *rows)).collect()} == {text}
 
 
+@pytest.mark.parametrize("end", ["<body>", "<div>", "", "</head><body>", "</head>"])
+def test_head_without_end_tag(end):
+    head = "<html><head><meta charset='u'><title>no</title><style>no</style>\n<script>no</script>"
+    assert text_of(f"{head}{end}wanted <b>text</b><p>more</p>") == "wanted text\nmore"
+
+
+@pytest.mark.parametrize("source, text", [
+    (f"<div class='site sidebar-right'><div class='c'>{LONG}</div><div class='sidebar'>side</div></div>", LONG),
+    (f"<div class='menu-open'><div id='page-widget'><article>{SHORT}</article></div><div class='ad'>{LONG}</div>"
+     "</div>", SHORT),
+    (f"<main><h1>{SHORT}</h1><div class='nav-top'><p>{LONG}</p></div></main>", f"{SHORT}\n{LONG}"),
+    (f"<div class='comments-open'><article>{LONG}</article></div>", LONG),
+    ("<div class='menu'><p>a b</p></div><div class='banner'><p>c</p></div><div class='share'>d e</div>", "a b\nc\nd e"),
+    # Words still decide over everything beside an article, and over comments.
+    (f"<article>{SHORT}</article><div class='cookie-notice'>{LONG}</div>", SHORT),
+    (f"<main><article>{SHORT}</article><div class='related'><article>{LONG}</article></div></main>", SHORT),
+    (f"<div class='p'>{SHORT}</div><div id='comments'><p>{LONG}</p></div>", SHORT),
+    ("<p>one <span class='share'>two</span> three</p>", "one three"),
+])
+def test_words_do_not_drop_the_main_part(source, text):
+    assert text_of(source) == text
+
+
 def test_host_path_of_inner_containers_keeps_other_pages_whole(frame):
     inner = f"<div class='post'><div class='c'>{LONG}</div></div>"
     rows = [(i, "http://h/" + str(i), inner) for i in range(3)]

@@ -51,6 +51,16 @@ def test_visible_text():
     assert warc.visible_text("") == ""
 
 
+def test_head_without_end_tag():
+    head = "<html><head lang='x'>\n<meta charset=u><title>t</title><!-- <p>no --><script>'<p>no'</script>\n"
+    assert warc.visible_text(head + "<body><p>a</p>b") == "a\nb"
+    assert warc.visible_text(head + "<h1>a</h1>b") == "a\nb"
+    assert warc.visible_text(head + "a <b>b</b><p>c") == "a b\nc"
+    assert warc.visible_text(head + "</head>a") == "a"
+    assert warc.visible_text(head) == ""
+    assert warc.visible_text("<header>a</header>") == "a"
+
+
 def test_edge_pages(frame):
     pages = frame("page_id long, url string, html string, record int",
                   (1, None, None, 1), (None, "http://a", "<p>x</p>", 1), (2, "http://b", "<p>é</p>" * 50000, 1))

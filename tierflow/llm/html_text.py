@@ -4,7 +4,8 @@ Each page scores its containers by the text of their blocks that is not linked;
 the container that holds the best one's whole article votes for its path: tags
 and classes from the body down, digits generalised. The path with most votes of
 a host wins, and all pages of the host are read again through it. A page without
-that path, or without text under it, is read through its own best container.
+that path, or without text under it, is read through its own best container. What tags or class words mark as
+something else has no text, unless words alone would drop the page's main part.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 DROPPED = frozenset(
     "head script style noscript template textarea select button svg iframe object canvas audio "
     "video nav footer aside form dialog menu map title".split())
+# The only elements that a head holds; another one, or text, ends a head whose end tag is missing.
+HEAD_ONLY = frozenset("base link meta noscript script style template title".split())
 RAW = frozenset("script style noscript template textarea iframe title".split())
 # Elements that end when one of their kind, or any block for p, begins.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
@@ -42,6 +45,7 @@ OTHER_WORDS = frozenset(
     "widget menu nav navbar navigation breadcrumb breadcrumbs masthead footer comment comments disqus "
     "replies respond share sharing social related recommended pagination pager login search toolbar "
     "contentinfo complementary alert".split())
+COMMENT_WORDS = frozenset("comment comments disqus replies respond".split())
 HEADER_WORDS = frozenset(("header", "topbar"))
 EXEMPT = frozenset(("html", "body", "main"))
 
@@ -64,7 +68,19 @@ class Element:
     container: int
     other: bool
     link: bool
-    article: bool
+    article: int  # the innermost open article or main, -1 outside
+    mark: int  # the innermost element around that class words mark, -1 outside
+
+
+@dataclass
+class Mark:
+    """An element that class, id or role words mark as something else than the article."""
+
+    parent: int
+    comments: bool
+    around: frozenset[int]
+    chars: int = 0
+    articles: int = 0
 
 
 @dataclass
@@ -156,32 +172,83 @@ def is_other(name: str, given: dict[str, str], in_article: bool) -> bool:
     if "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get(
             "style", "").replace(" ", ""):
         return True
+    return False
+
+
+def marked_by(name: str, given: dict[str, str], in_article: bool) -> str:
+    """The word of class, id or role that marks an element as something else, or ''."""
+    if not given or name in EXEMPT:
+        return ""
     for label in f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}".split():
         words = [w.lower() for w in WORD.findall(label)]
         if not words or words[0] in ("has", "with", "no"):
             continue
-        if words[0] in OTHER_WORDS or words[-1] in OTHER_WORDS:
-            return True
+        for word in (words[0], words[-1]):
+            if word in OTHER_WORDS:
+                return word
         if not in_article and len(words) < 3 and words[-1] in HEADER_WORDS and words[0] not in (
                 "article", "entry", "post", "content"):
-            return True
-    return False
+            return words[-1]
+    return ""
+
+
+Piece = tuple[str, bool, int]  # text, whether it is linked, its mark
+
+
+def dropped_marks(marks: list[Mark], blocks: list[tuple[int, int, list[Piece]]]) -> list[bool]:
+    """For each mark whether its text goes; the last value is that of no mark.
+
+    Words do not decide over what the page is about: an element goes not if the
+    page has no text in another article or main and the element holds one, or
+    most of the unlinked text that is not comments. An element of comments stays
+    only for one article or a main. If nothing were left, nothing goes.
+    """
+    total, texted = 0, set()
+    for _, article, pieces in blocks:
+        for piece, link, mark in pieces:
+            size = 0 if link else len(piece.strip())
+            if not size:
+                continue
+            comments = False
+            if mark < 0 <= article:
+                texted.add(article)
+            while mark >= 0:
+                comments |= marks[mark].comments
+                marks[mark].chars += size if marks[mark].comments or not comments else 0
+                mark = marks[mark].parent
+            total += 0 if comments else size
+
+    def going(stays: list[bool]) -> list[bool]:
+        gone: list[bool] = []
+        for mark, own in zip(marks, stays):
+            gone.append(not own or mark.parent >= 0 and gone[mark.parent])
+        return [*gone, False]
+
+    holds = [mark.chars > 0 and not texted - mark.around and (
+        mark.articles == 1 if mark.comments else mark.articles > 0) for mark in marks]
+    gone = going(holds)
+    texted |= {article for _, article, pieces in blocks if article >= 0 and any(
+        not link and not gone[mark] and piece.strip() for piece, link, mark in pieces)}
+    gone = going([own or not mark.comments and not texted - mark.around and 2 * mark.chars > total
+                  for own, mark in zip(holds, marks)])
+    if all(gone[mark] or not piece.strip() for _, _, pieces in blocks for piece, _, mark in pieces):
+        gone = [False] * len(gone)
+    return gone
 
 
 def read_page(source: str) -> Page:
     """Containers and blocks of a page; unclosed and misplaced tags are tolerated."""
-    page, stack = Page(), [Element("#", 0, False, False, False)]
-    parts: list[str] = []
-    linked, container, at = 0, 0, 0
+    page, stack = Page(), [Element("#", 0, False, False, -1, -1)]
+    blocks: list[tuple[int, int, list[Piece]]] = []
+    marks: list[Mark] = []
+    parts: list[Piece] = []
+    container, article, articles, at = 0, -1, 0, 0
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal parts
         if parts:
-            text = " ".join("".join(parts).split())
-            if text:
-                page.add_block(container, text, min(linked, len(text)))
-            parts.clear()
-        linked = 0
+            blocks.append((container, article, parts))
+            parts = []
 
     def close(names: tuple[str, ...], scope: frozenset[str]) -> None:
         for i in range(len(stack) - 1, 0, -1):
@@ -195,30 +262,34 @@ def read_page(source: str) -> Page:
     while at < end:
         found = TAG.search(source, at)
         stop = found.start() if found else end
+        if stop > at and stack[-1].name == "head" and not source[at:stop].isspace():
+            stack.pop()
         if stop > at and not stack[-1].other:
-            piece = source[at:stop]
+            piece, top = source[at:stop], stack[-1]
             if "&" in piece:
                 piece = html.unescape(piece)
             if not parts:
-                container = stack[-1].container
-            parts.append(piece)
-            if stack[-1].link:
-                linked += len(piece)
+                container, article = top.container, top.article
+            parts.append((piece, top.link, top.mark))
         if not found:
             break
         at = found.end()
         name = (found[2] or found[5] or "").lower()
         if not name:
             if found[0].startswith("<![CDATA[") and not stack[-1].other:
-                parts.append(found[0][9:-3])
+                if not parts:
+                    container, article = stack[-1].container, stack[-1].article
+                parts.append((found[0][9:-3], False, stack[-1].mark))
             continue
         if name in BLOCKS:
             flush()
         elif parts and name in ("br", "td", "th"):
-            parts.append(" ")
+            parts.append((" ", False, stack[-1].mark))
         if found[1] or found[4]:
             close((name,), frozenset() if name in SCOPE else SCOPE)
             continue
+        if stack[-1].name == "head" and name not in HEAD_ONLY:
+            stack.pop()
         if name in VOID:
             continue
         if name in RAW:
@@ -232,8 +303,19 @@ def read_page(source: str) -> Page:
         above = stack[-1]
         text = found[3] or found[6] or ""
         given = attributes(text) if text.strip(" /") else {}
-        article = above.article or name == "article"
-        other = above.other or is_other(name, given, above.article)
+        other = above.other or is_other(name, given, above.article >= 0)
+        word = "" if other else marked_by(name, given, above.article >= 0)
+        mark, within = above.mark, above.article
+        if word:
+            marks.append(Mark(mark, word in COMMENT_WORDS, frozenset(
+                x.article for x in stack if x.article >= 0)))
+            mark = len(marks) - 1
+        if name in ("article", "main") and not other:
+            within, articles = articles, articles + 1
+            i = above.mark
+            while i >= 0:
+                marks[i].articles += 1
+                i = marks[i].parent
         inside = above.container
         if name in CONTAINERS and not other and name != "body":
             classes = sorted(DIGITS.sub("#", given.get("class", "")).split())
@@ -244,8 +326,14 @@ def read_page(source: str) -> Page:
             page.chars.append(0)
             page.content.append(0)
             inside = len(page.paths) - 1
-        stack.append(Element(name, inside, other, above.link or name == "a", article))
+        stack.append(Element(name, inside, other, above.link or name == "a", within, mark))
     flush()
+    gone = dropped_marks(marks, blocks) if marks else [False]
+    for container, _, pieces in blocks:
+        text = " ".join("".join([x for x, _, mark in pieces if not gone[mark]]).split())
+        if text:
+            linked = sum(len(x) for x, link, mark in pieces if link and not gone[mark])
+            page.add_block(container, text, min(linked, len(text)))
     return page
 
 

@@ -25,8 +25,12 @@ DATE = "2024-01-01T00:00:00Z"
 CRLF = b"\r\n"
 END = CRLF + CRLF
 
+# A head is what only heads hold; anything else, with or without </head>, is the body's.
 HIDDEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head|svg|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<head(?![\w-])[^>]*>(?:\s++|<!--.*?(?:-->|\Z)|<[!?][^>]*>|</(?!head\b|body\b|html\b|br\b)[a-z][^>]*>"
+    r"|<(?:meta|link|base)(?![\w-])[^>]*>"
+    r"|<(?P<own>script|style|noscript|template|title)(?![\w-])[^>]*>.*?(?:</(?P=own)\s*>|\Z))*+(?:</head\s*>)?",
     re.DOTALL | re.IGNORECASE)
 BREAK = re.compile(
     r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer"

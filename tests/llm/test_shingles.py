@@ -72,6 +72,15 @@ def test_edge_rows(frame):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 6, 7, 8, 9, 11, 11]
 
 
+def test_null_id_before_an_equal_text_hides_no_near_copy(frame):
+    words = [f"w{i}" for i in range(60)]
+    text, near = " ".join(words), " ".join([*words[:-1], "other"])
+    table = frame("doc_id long, text string", (None, text), (1, text), (2, near), (None, near)).coalesce(1)
+    got = sorted((r.doc_id or 0, r.component_id or 0) for r in shingle_join.similar_texts(table).collect())
+    assert got == [(0, 0), (0, 0), (1, 1), (2, 1)]
+    assert sorted(r.doc_id or 0 for r in shingle_join.one_of_each(table).collect()) == [0, 0, 1]
+
+
 def test_union_bound_never_hides_a_member():
     rng = np.random.default_rng(2)
     for _ in range(100):

@@ -109,7 +109,7 @@ def prefix_sizes(n: int, percent: int) -> tuple[int, int]:
 def shingle_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, s1, s2, prefix, bytes) of every row: size, two hashes of
     the whole set, its prefix tokens and the size of the text. Of equal sets that
-    one slice of texts holds the first alone has its prefix."""
+    one slice of texts holds the first with a doc_id alone has its prefix."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +123,9 @@ def shingle_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
                 sums = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                 others = np.array([np.bitwise_xor.reduce(mixed(s ^ BASE)) if len(s) else 0
                                    for s in sets], np.uint64).view(np.int64)
-                own = set(np.unique(sums, return_index=True)[1].tolist())
+                named = np.flatnonzero(batch.column(0).slice(begin, end - begin).is_valid().to_numpy(
+                    zero_copy_only=False))
+                own = set(named[np.unique(sums[named], return_index=True)[1]].tolist())
                 prefixes = [s[:prefix_sizes(len(s), percent)[0] if i in own else 0].view(np.int64)
                             for i, s in enumerate(sets)]
                 ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)

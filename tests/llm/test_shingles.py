@@ -81,6 +81,16 @@ def test_null_id_before_an_equal_text_hides_no_near_copy(frame):
     assert sorted(r.doc_id or 0 for r in shingle_join.one_of_each(table).collect()) == [0, 0, 1]
 
 
+def test_one_of_each_where_texts_share_a_doc_id(frame):
+    words = [f"w{i}" for i in range(60)]
+    text, near, more = (" ".join([*words[:59 - i], *f"{i} other".split()]) for i in range(3))
+    rows = [(1, text), (5, near), (5, "like nothing else at all here"), (None, text), (7, near), (1, more)]
+    kept = shingle_join.one_of_each(frame("doc_id long, text string", *rows)).collect()
+    assert {r.text for r in kept if r.doc_id == 5} == {"like nothing else at all here"}
+    assert {r.doc_id for r in kept} == {None, 1, 5}
+    assert sum(r.doc_id == 1 for r in kept) == 1
+
+
 def test_union_bound_never_hides_a_member():
     rng = np.random.default_rng(2)
     for _ in range(100):

@@ -396,12 +396,21 @@ def _links_across(shared: DataFrame, blocks: DataFrame, texts: DataFrame, parts:
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with the row of the smallest doc_id of each component; all columns stay.
+    """``docs`` with one document, that of the smallest doc_id, of each component; all columns stay.
 
-    Rows that link with nothing, null ids among them, all stay. Of rows that
-    repeat a doc_id with the same text one stays.
+    A document is a doc_id with its text: where texts share a doc_id, each is
+    decided by its own links, and of several of one component one stays. Rows
+    that link with nothing, null ids among them, all stay, and so do all rows
+    that repeat a kept doc_id and text.
     """
-    found = similar_texts(docs.select("doc_id", "text"), words, percent)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return kept
+    named = docs.withColumn("_document", F.when(
+        F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    found = similar_texts(named.select(F.col("_document").alias("doc_id"), "text"), words, percent)
+    members = found.where("component_id is not null").select(
+        F.col("doc_id").alias("_document"), "component_id").distinct()
+    ids = named.where("doc_id is not null").select("_document", "doc_id").distinct()
+    members = stored(members.join(ids, "_document"), "shingle-members")
+    kept = members.groupBy("component_id").agg(
+        F.min(F.struct("doc_id", "_document")).alias("_first")).select(F.col("_first._document"))
+    gone = members.select("_document").join(kept, "_document", "left_anti")
+    return named.join(gone, "_document", "left_anti").select(*docs.columns)

@@ -5,9 +5,9 @@ A window is the shortest run of lines from a line on, or back from it, that has
 Two equal runs of at least that many words hold equal windows from their first
 to their last line, so they share fingerprints for certain. Windows whose
 fingerprint comes at one place only are dropped; the others are matched whole
-against the earliest window with the same lines. Equal windows that follow one
-another are the match extended to both sides of its fingerprints: together they
-cover every line of the longest repeated run. Later runs are deleted.
+against the earliest window with the same lines, by the hash of all their lines.
+No positions are joined and no match is extended: equal windows that follow one
+another together cover every line of the longest repeated run. Later runs are deleted.
 
 Everything here is DataFrame functions; no group is collected beyond the lines
 of one document.

@@ -8,11 +8,10 @@
    left out.
 3. Each class joins the group of the smallest class it shares most prefix tokens
    with: groups of similar documents, cut into blocks of bounded size.
-4. A block stores the union of its members' tokens. The matrix, token by block,
-   is read in Spark: a block is a candidate for the queries of a block that
-   shares prefix tokens with it. A query's overlap with the union bounds its
-   overlap with each member; only blocks where the bound reaches t of the query
-   are opened and members checked exactly.
+4. The matrix, prefix token by block, is read in Spark: blocks that share enough
+   prefix tokens are opened, that is, their texts are fetched and shingled. A
+   query's overlap with the union of an opened block's tokens bounds its overlap
+   with each member; where it reaches t of the query, members are checked exactly.
 5. First each block is searched with its own members and its group's leader.
    Members that are connected by then need no further link between them, so
    among blocks only tokens that still lie in different components are joined.

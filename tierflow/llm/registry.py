@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tierflow.llm import (chat, encoding, html_text, language, line_dedup, near_vectors, neighbours,
-                          packing, shingle_join, warc)
+                          packing, periodic_runs, shingle_join, warc)
 from tierflow.llm.common import ship_package, table
 from tierflow.session import prepare
 
@@ -84,4 +84,9 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
+
+
 SQL["op1_line_dedup"] = line_dedup.SQL

@@ -5,10 +5,13 @@ from __future__ import annotations
 import io
 import os
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import reduce
 from pathlib import Path
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,3 +123,31 @@ def _small_star(edges: DataFrame) -> DataFrame:
     moved = edges.join(low, "v").select(F.col("m").alias("v"), F.col("low").alias("m"))
     own = low.select("v", F.col("low").alias("m"))
     return moved.union(own).where("v <> m").distinct()
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str],
+                 rows: int = 16_384) -> Iterator[tuple[pa.Table, list[int]]]:
+    """Rows sorted by ``keys`` as (table, where its groups begin and the last one ends).
+
+    No group is divided; a table has at least ``rows`` rows, but for the last one, and
+    at most a batch and a group more.
+    """
+    held: list[pa.RecordBatch] = []
+
+    def grouped(table: pa.Table) -> list[int]:
+        columns = [table.column(k).combine_chunks().to_numpy(zero_copy_only=False) for k in keys]
+        breaks = reduce(np.logical_or, [c[1:] != c[:-1] for c in columns])
+        return [0, *(np.flatnonzero(breaks) + 1).tolist(), len(table)]
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        cuts = grouped(table)
+        if len(cuts) > 2:  # the last group may go on in the next batch
+            yield table.slice(0, cuts[-2]), cuts[:-1]
+            held = table.slice(cuts[-2]).to_batches()
+    if sum(b.num_rows for b in held):
+        table = pa.Table.from_batches(held)
+        yield table, grouped(table)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tierflow.llm import (chat, encoding, html_text, language, line_dedup, near_vectors, neighbours,
+from tierflow.llm import (chat, encoding, html_text, language, line_dedup, merkle, near_vectors, neighbours,
                           packing, periodic_runs, shingle_join, warc)
 from tierflow.llm.common import ship_package, table
 from tierflow.session import prepare
@@ -89,4 +89,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_rows(table(spark, sf_dir, "documents"))
+
+
 SQL["op1_line_dedup"] = line_dedup.SQL
+SQL["op13_merkle_manifest"] = merkle.SQL

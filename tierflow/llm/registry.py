@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tierflow.llm import (chat, encoding, html_text, language, line_dedup, merkle, near_vectors, neighbours,
-                          packing, periodic_runs, shingle_join, warc)
+                          packing, periodic_runs, shingle_join, suffix_dedup, warc)
 from tierflow.llm.common import ship_package, table
 from tierflow.session import prepare
 
@@ -89,6 +89,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_rows(table(spark, sf_dir, "documents"))
@@ -96,3 +101,4 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op1_line_dedup"] = line_dedup.SQL
 SQL["op13_merkle_manifest"] = merkle.SQL
+SQL["op12_suffix_dedup"] = suffix_dedup.SQL

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
@@ -84,18 +85,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tierflow/{label}-{uuid.uuid4().hex}"
 
 
-def _file_system(spark: SparkSession, path: str):
+def plain_name(uri: str) -> str:
+    """A file's path from its URI, the form in which scans name files, as readers take it."""
+    return unquote(uri).replace(":///", ":/", 1)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path as that system takes it."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
     """Create an empty folder on whatever file system ``path`` names."""
-    system, jvm_path = _file_system(spark, path)
+    system, jvm_path = file_system(spark, path)
     system.mkdirs(jvm_path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder at ``path``."""
-    system, jvm_path = _file_system(spark, path)
+    system, jvm_path = file_system(spark, path)
     return system.exists(jvm_path)

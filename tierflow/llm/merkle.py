@@ -24,22 +24,26 @@ STRIDE = 8
 CLIMBERS = 65_536  # leaves that climb through one copy of a node row
 TOP = -1  # the tree of the subroots
 ROW_BITS = 33  # of monotonically increasing ids that count rows of a partition
-BLOCK = ("tree long, hop int, key long, idx long, n long, weight long, hash string, "
-         "siblings array<binary>, block long, block_weight long")
-
-# Ascends per leaf: appends the siblings of a row and folds the hash with them.
-CLIMB = """
-WITH RECURSIVE climb(leaf_id, tree, hop, key, slices, folded, proof) AS (
-  SELECT leaf_id, tree, hop, key, slices, folded, proof FROM {start}
+NODE = "tree long, hop int, key long, idx long, n long, weight long, hash string"
+BLOCK = NODE + ", siblings array<binary>, block long, block_weight long"
+
+# The hash ``h`` of a row's node, folded with the row's siblings from the lowest level up.
+FOLD = """aggregate(transform({n}.siblings, (e, i) -> struct(shiftright({n}.idx, i) % 2 = 1 AS on_left, lower(hex(e)) AS h)),
+  {h}, (h, x) -> sha2(CASE WHEN x.on_left THEN concat(x.h, h) ELSE concat(h, x.h) END, 256))"""
+
+# Ascends per leaf, from its own row's link: appends siblings and folds the hash with them.
+CLIMB = f"""
+WITH RECURSIVE climb(leaf_id, doc_id, leaf, tree, hop, key, slices, folded, proof, home) AS (
+  SELECT leaf_id, doc_id, hash, next_tree, next_hop, next_key, next_slices, {FOLD.format(n="s", h="s.found")},
+         aggregate(s.siblings, CAST('' AS BINARY), (p, x) -> concat(p, x)), tree
+  FROM {{start}} s
   UNION ALL
-  SELECT c.leaf_id, n.next_tree, n.next_hop, n.next_key, n.next_slices,
-         aggregate(sequence(0, size(n.siblings) - 1), c.folded, (h, i) -> sha2(
-           CASE WHEN shiftright(n.idx, i) % 2 = 1 THEN concat(lower(hex(n.siblings[i])), h)
-                ELSE concat(h, lower(hex(n.siblings[i]))) END, 256)),
-         aggregate(n.siblings, c.proof, (p, s) -> concat(p, s))
-  FROM climb c JOIN {nodes} n
+  SELECT c.leaf_id, c.doc_id, c.leaf, n.next_tree, n.next_hop, n.next_key, n.next_slices,
+         {FOLD.format(n="n", h="c.folded")}, aggregate(n.siblings, c.proof, (p, x) -> concat(p, x)), c.home
+  FROM climb c JOIN {{nodes}} n
     ON c.tree = n.tree AND c.hop = n.hop AND c.key = n.key AND c.leaf_id % c.slices = n.slice)
-SELECT leaf_id, folded AS folded_root, lower(hex(proof)) AS proof FROM climb WHERE tree IS NULL
+SELECT leaf_id, doc_id, leaf, home AS tree, folded AS folded_root, lower(hex(proof)) AS proof
+FROM climb WHERE tree IS NULL
 """
 
 
@@ -78,13 +82,14 @@ def _digest(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def _blocks(stride: int, hop: int):
+def _blocks(stride: int, hop: int, carried: list[tuple[str, str]]):
     """Builds the levels of whole blocks: a row per node, and one per block for the next hop."""
-    names = [f.split()[0] for f in BLOCK.split(", ")]
+    fields = [tuple(f.split(" ", 1)) for f in BLOCK.split(", ")]
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<binary>": pa.list_(pa.binary())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, cuts in whole_groups(batches, ["tree", "block"]):
-            out = []
+            out, tops = [], []
             columns = [rows.column(c).to_pylist() for c in ("tree", "key", "idx", "n", "weight", "hash", "block")]
             for begin, end in zip(cuts[:-1], cuts[1:]):
                 tree, key, idx, n, weight, hashes, block = (c[begin:end] for c in columns)
@@ -96,51 +101,60 @@ def _blocks(stride: int, hop: int):
                 for i in range(end - begin):
                     places = [(low, (i >> at) ^ 1) for at, low in enumerate(binary)]
                     siblings = [low[p] if p < len(low) else b"" for low, p in places]
-                    out.append((tree[i], hop, key[i], idx[i], n[i], weight[i], None, siblings, block[i], heavy))
+                    out.append((tree[i], hop, key[i], idx[i], n[i], weight[i], hashes[i], siblings, block[i], heavy))
                 after = -(-n[0] // (1 << stride))
-                out.append((tree[0], hop + 1, block[0], block[0], after, heavy, levels[-1][0], None, None, None))
+                tops.append((tree[0], hop + 1, block[0], block[0], after, heavy, levels[-1][0], None, None, None))
             if out:
+                none = pa.nulls(len(tops))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, _arrow(k)) for c, k in zip(zip(*out), BLOCK.split(", "))], names)
+                    [pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*out, *tops), fields)]
+                    + [pa.chunked_array([*rows.column(c).chunks, none.cast(rows.schema.field(c).type)]).combine_chunks()
+                       for c, _ in carried],
+                    [f for f, _ in fields] + [c for c, _ in carried])
 
     return run
 
 
-def _arrow(field: str) -> pa.DataType:
-    return {"long": pa.int64(), "int": pa.int32(), "string": pa.string(),
-            "array<binary>": pa.list_(pa.binary())}[field.split()[1]]
-
-
-def build_trees(leaves: DataFrame, stride: int, label: str) -> tuple[list[DataFrame], DataFrame]:
+def build_trees(leaves: DataFrame, stride: int, label: str,
+                carried: tuple[str, ...] = ()) -> tuple[list[DataFrame], DataFrame]:
     """(node rows of every hop, roots) of trees given by their leaves (tree, key, idx, n, weight, hash).
 
     Each hop groups the nodes of a tree by blocks, bounded by ``2**stride`` rows, and
     is written. There are as many hops as the largest tree is high, by the stride.
+    Rows of leaves keep the ``carried`` columns.
     """
     rows, nodes, roots, hop = leaves, [], [], 0
+    extra = [(c, leaves.schema[c].dataType.simpleString()) for c in carried]
     while True:
-        roots.append(rows.where("n = 1").select("tree", F.col("hash").alias("root")))
+        roots.append(rows.where("n = 1").select("tree", F.col("hash").alias("root"), "weight"))
         rows = rows.where("n > 1").withColumn("block", F.shiftright("idx", stride))
         if hop and rows.isEmpty():
             return nodes, reduce(DataFrame.unionAll, roots)
-        built = stored(rows.select("tree", "key", "idx", "n", "weight", "hash", "block")
-                       .repartition("tree", "block").sortWithinPartitions("tree", "block", "idx")
-                       .mapInArrow(_blocks(stride, hop), BLOCK), f"{label}-{hop}")
+        built = stored(
+            rows.select("tree", "key", "idx", "n", "weight", "hash", "block", *[c for c, _ in extra])
+            .repartition("tree", "block").sortWithinPartitions("tree", "block", "idx")
+            .mapInArrow(_blocks(stride, hop, extra), ", ".join([BLOCK, *[f"{c} {k}" for c, k in extra]])),
+            f"{label}-{hop}")
         nodes.append(built.where("siblings is not null"))
         rows = built.where("siblings is null").select("tree", "key", "idx", "n", "weight", "hash")
-        hop += 1
+        hop, extra = hop + 1, []
 
 
-def _linked(nodes: list[DataFrame], stride: int, last: Column) -> DataFrame:
-    """Node rows with their links; ``last`` is where the top block of a tree links to."""
-    rows = reduce(DataFrame.unionAll, nodes)
+def _linked(nodes: DataFrame, stride: int, last: Column) -> DataFrame:
+    """Node rows with their links; ``last`` is the tree that the top block of a tree links to."""
     ends = F.col("n") <= F.lit(1 << stride)
-    return (rows.withColumn("slice", F.explode(F.sequence(F.lit(0), _slices("weight") - 1)))
-            .select("tree", "hop", "key", "slice", "idx", "siblings",
-                    F.when(ends, last).otherwise(F.col("tree")).alias("next_tree"),
-                    F.when(ends, 0).otherwise(F.col("hop") + 1).alias("next_hop"),
-                    F.when(ends, F.col("tree")).otherwise(F.col("block")).alias("next_key"),
-                    _slices("block_weight").alias("next_slices")))
+    return nodes.select(
+        "*", F.when(ends, last).otherwise(F.col("tree")).alias("next_tree"),
+        F.when(ends, 0).otherwise(F.col("hop") + 1).alias("next_hop"),
+        F.when(ends, F.col("tree")).otherwise(F.col("block")).alias("next_key"),
+        _slices("block_weight").alias("next_slices"))
+
+
+def _copied(nodes: DataFrame) -> DataFrame:
+    """Node rows once for each slice of the leaves that climb through them."""
+    return (nodes.withColumn("slice", F.explode(F.sequence(F.lit(0), _slices("weight") - 1)))
+            .select("tree", "hop", "key", "slice", "idx", "siblings", "next_tree", "next_hop", "next_key",
+                    "next_slices"))
 
 
 def _slices(weight: str) -> Column:
@@ -166,32 +180,32 @@ def manifest(docs: DataFrame, changed: dict[str, Column] | None = None, stride:
     hashed = docs.select(*FIELDS).select(
         F.col("doc_id"), F.col("lang"), leaf_hash().alias("leaf"), leaf_hash(changed).alias("found"))
     leaves, parts = ranked(stored(hashed, "merkle-leaves"), "lang", ["doc_id", "leaf"], "merkle-ranked")
-    leaves = stored(leaves, "merkle-numbered")
-    nodes, subroots = build_trees(leaves.select(
-        "tree", F.col("idx").alias("key"), "idx", "n", F.lit(1).cast("long").alias("weight"),
-        F.col("leaf").alias("hash")), stride, "merkle-trees")
-    sizes = leaves.groupBy("tree").agg(F.count(F.lit(1)).alias("weight"))
-    subroots = stored(subroots.join(sizes, "tree").withColumnRenamed("tree", "key"), "merkle-subroots")
+    leaves = leaves.select("leaf_id", "doc_id", "found", "tree", F.col("idx").alias("key"), "idx", "n",
+                           F.lit(1).cast("long").alias("weight"), F.col("leaf").alias("hash"))
+    carried = ("leaf_id", "doc_id", "found")
+    (low, *higher), subroots = build_trees(leaves, stride, "merkle-trees", carried)
+    subroots = stored(subroots.withColumnRenamed("tree", "key"), "merkle-subroots")
     top, _ = ranked(subroots.withColumn("all", F.lit(0)), "all", ["key"], "merkle-top")
     top_nodes, roots = build_trees(top.select(
         F.lit(TOP).cast("long").alias("tree"), "key", "idx", "n", "weight", F.col("root").alias("hash")),
         stride, "merkle-top")
     several = F.lit(subroots.limit(2).count() == 2)
     root = roots.first()  # one hash, or none for an empty table
-    over = F.when(several, F.lit(TOP).cast("long"))
-    linked = _linked(nodes, stride, over).unionAll(_linked(top_nodes, stride, F.lit(None).cast("long")))
-    alone = F.col("n") == 1
-    start = leaves.select(
-        "leaf_id", F.when(alone, over).otherwise(F.col("tree")).alias("tree"), F.lit(0).alias("hop"),
-        F.when(alone, F.col("tree")).otherwise(F.col("idx")).alias("key"), F.lit(1).cast("long").alias("slices"),
-        F.col("found").alias("folded"), F.lit(b"").alias("proof"))
+    over, end = F.when(several, F.lit(TOP).cast("long")), F.lit(None).cast("long")
+    nodes = reduce(DataFrame.unionAll, [_copied(_linked(n, stride, over)) for n in higher]
+                   + [_copied(_linked(n, stride, end)) for n in top_nodes])
+    # A leaf that is a tree by itself has no row of siblings: it links to the top at once.
+    alone = (leaves.where("n = 1").withColumn("hop", F.lit(0)).withColumn("block", F.lit(0).cast("long"))
+             .withColumn("siblings", F.array().cast("array<binary>")).withColumn("block_weight", F.col("weight")))
+    start = _linked(low.unionByName(alone.select(*low.columns)), stride, over)
     spark = docs.sparkSession
     with settings(spark, {"spark.sql.cteRecursionRowLimit": "-1"}):  # as many rows as there are leaves
-        climbed = stored(spark.sql(CLIMB, start=start, nodes=stored(linked, "merkle-nodes")), "merkle-climbed")
-    by_part = parts.join(subroots.select(F.col("key").alias("tree"), F.col("root").alias("subroot")), "tree").drop("lang")
-    return (leaves.join(climbed, "leaf_id").join(by_part, ["part", "tree"]).select(
-        "doc_id", "leaf", "subroot", F.lit(root.root if root else None).cast("string").alias("root"),
-        "proof", "folded_root").withColumn("verified", F.col("folded_root") == F.col("root")))
+        climbed = stored(spark.sql(CLIMB, start=start, nodes=stored(nodes, "merkle-nodes")), "merkle-climbed")
+    homes = stored(parts.join(subroots.select(F.col("key").alias("tree"), F.col("root").alias("subroot")), "tree")
+                   .drop("lang"), "merkle-homes")
+    return (climbed.withColumn("part", F.shiftright("leaf_id", ROW_BITS)).join(homes, ["part", "tree"])
+            .select("doc_id", "leaf", "subroot", F.lit(root.root if root else None).cast("string").alias("root"),
+                    "proof", "folded_root").withColumn("verified", F.col("folded_root") == F.col("root")))
 
 
 def tampered_count() -> dict[str, Column]:

@@ -71,6 +71,7 @@ def ranked(df: DataFrame, group: str, order: list[str], label: str) -> tuple[Dat
                      F.sum("rows").over(everywhere).alias("n"),
                      F.coalesce(F.sum("rows").over(everywhere.orderBy("part").rowsBetween(
                          Window.unboundedPreceding, -1)), F.lit(0)).alias("before")))
+    parts = stored(parts, f"{label}-parts")  # small, which the planner then knows
     own = parts.withColumnRenamed(group, "_group")
     numbered = (placed.join(own, (placed["part"] == own["part"]) & placed[group].eqNullSafe(F.col("_group")))
                 .drop(own["part"]).withColumn("idx", F.col("before") + F.col("leaf_id") - F.col("first"))

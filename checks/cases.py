@@ -6,22 +6,27 @@ Each case takes (spark, sf_dir) and runs over the whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.functions.times import parse_timestamps, to_utc_naive
-from tierflow.operators import customers, indicators, orders, quality, revenue, serving, shipments
+from tierflow.operators import (customers, indicators, kpi_rollup, orders, quality, revenue, serving,
+                                shipments)
 from tierflow.operators.ranking import stored
-from tierflow.plans import commerce, reports, upkeep
+from tierflow.plans import commerce, compaction, reports, upkeep
+from tierflow.plans.indicators import run_indicators
 from tierflow.schemas import CARRIER_UPDATE, CORRUPT, ORDER_TIMES, SHIPMENT, WAREHOUSE_OP
 from tierflow.session import prepare, scratch_path
 from tierflow.sinks import batch
 from tierflow.sources import adapters
-from tierflow.sources.csv import ingest_all, read_csv_bronze
+from tierflow.sources.csv import ingest_all, read_csv_bronze, read_csv_checked
 from tierflow.sources.envelopes import envelope_stream
 from tierflow.sources.layers import commerce_views, count_views, register_layer_views
+from tierflow.sources.file_stats import Between, equal, read_matching, refresh_file_stats
+from tierflow.sources.payloads import payload_stream
+from tierflow.streaming import batches
 from tierflow.streaming import shipments as streams
 from tierflow.streaming.sink import (AVAILABLE_NOW, read_newest_version, stream_metrics,
                                      stream_sink)
@@ -222,6 +227,29 @@ def adhoc_top10_categories(spark, d):
     return reports.adhoc_top10_categories(revenue.category_performance(fact(spark, d)))
 
 
+@case
+def orders_fact_bucketed(spark, d):
+    """The order table over raw tables that are bucketed by order."""
+    tables = {}
+    for name in ("orders", "order_items", "order_payments"):
+        path = scratch_path(spark, name)
+        tables[name] = "bucketed_" + path.rsplit("-", 1)[1]
+        batch.save_bucketed(adapters.COMMERCE[name](spark, d), tables[name], path, "order_id", 16)
+    return orders.orders_fact_colocated(
+        *[spark.table(tables[n]) if n in tables else adapters.COMMERCE[n](spark, d) for n in (
+            "orders", "order_items", "customers", "order_payments", "products", "category_translation")])
+
+
+@case
+def csv_quarantine(spark, d):
+    """Lines of order items: well-formed ones typed, malformed ones with the reason."""
+    folder = scratch_path(spark, "lines")
+    adapters.csv_lines(spark, d).write.text(folder)
+    good, bad = read_csv_checked(spark, folder, adapters.order_items(spark, d).schema, header=False)
+    good, bad = good.drop(*LINEAGE), bad.drop(*LINEAGE, CORRUPT)
+    return good.withColumn("reason", F.lit(None).cast("string")).unionByName(bad.withColumnRenamed("_reason", "reason"))
+
+
 # --- shipments, in batch form ------------------------------------------------
 @case
 def bronze_shipments(spark, d):
@@ -289,6 +317,32 @@ def kpi_lookback(spark, d):
                                as_of=datetime(2024, 1, 15, 12))
 
 
+@case
+def stored_alerts(spark, d):
+    """The newest alerts of one carrier, from the stored table."""
+    path = scratch_path(spark, "alerts")
+    (shipments.active_alerts(silver(spark, d))
+     .withColumn("alert_generated_at", F.col("event_ts") + F.expr("INTERVAL 1 MINUTE"))
+     .write.partitionBy("carrier_code").parquet(path))
+    return serving.fetch_alerts(spark, path, "dhl", "high", 100)
+
+
+@case
+def stored_kpis(spark, d):
+    """Half a day of figures of one carrier, from the stored table."""
+    path = scratch_path(spark, "kpis")
+    shipments.carrier_kpis(silver(spark, d)).write.parquet(path)
+    return serving.fetch_carrier_kpis(spark, path, "fedex", 720, as_of=datetime(2024, 1, 20))
+
+
+@case
+def carrier_kpis_hourly(spark, d):
+    """Five-minute sums and sketches are stored; hours are made of these, not of events."""
+    path = scratch_path(spark, "sketches")
+    kpi_rollup.carrier_sketches(silver(spark, d)).write.parquet(path)
+    return kpi_rollup.kpis_of_sketches(kpi_rollup.merge_sketches(spark.read.parquet(path)))
+
+
 # --- shipments, as streams ---------------------------------------------------
 TOPICS = {"shipments": adapters.shipment_envelopes, "carriers": adapters.carrier_envelopes,
           "warehouses": adapters.warehouse_envelopes}
@@ -402,6 +456,53 @@ def stream_late_events(spark, d):
         F.lit(metrics["dropped_late"]).cast("bigint").alias("late_groups_dropped"))
 
 
+@case
+def stream_quarantine(spark, d):
+    """Both halves of the messages through one query that is started twice; what is malformed is kept."""
+    base, middle = scratch_path(spark, "stream"), middle_time(spark, d)
+    for first in (True, False):
+        early = F.col("timestamp") - F.expr("INTERVAL 1 SECOND") < middle
+        (adapters.shipment_envelopes(spark, d).filter(early if first else ~early)
+         .write.mode("append").parquet(f"{base}/topic"))
+        parsed = shipments.parse_envelope(envelope_stream(spark, f"{base}/topic"), SHIPMENT,
+                                          ("partition", "offset"))
+        batches.quarantine_stream(parsed, f"{base}/good", f"{base}/bad", f"{base}/checkpoint",
+                                  AVAILABLE_NOW).awaitTermination()
+    good = batches.read_batches(spark, f"{base}/good").select("shipment_id", "kafka_ts", "partition", "offset")
+    bad = batches.read_batches(spark, f"{base}/bad").select(CORRUPT, "kafka_ts", "partition", "offset")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+@case
+def stream_late_rows(spark, d):
+    """The later half first; rows of the earlier half are late and kept with the watermark they missed."""
+    base, middle = scratch_path(spark, "stream"), middle_time(spark, d)
+    events = stored(silver(spark, d), "silver").select("shipment_id", "event_ts", "carrier_code")
+    for late in (False, True):
+        early = F.col("event_ts") < middle
+        events.filter(early if late else ~early).write.mode("append").parquet(f"{base}/in")
+        stream = streams.read_table_stream(spark, f"{base}/in", events)
+        batches.late_rows_stream(stream, "event_ts", "10 minutes", f"{base}/out", f"{base}/checkpoint",
+                                 AVAILABLE_NOW).awaitTermination()
+    in_time, late_rows = (batches.read_batches(spark, f"{base}/out/{n}").drop(batches.BATCH)
+                          for n in ("on_time", "late"))
+    return in_time.unionByName(late_rows, allowMissingColumns=True)
+
+
+@case
+def stream_schema_evolution(spark, d):
+    """A query is stopped and started again over events that have gained a column."""
+    base = scratch_path(spark, "stream")
+    events = adapters.table(spark, d, "events")
+    old = F.col("event_type").isin("signup", "view")
+    for part, columns in ((events.filter(old), ["event_id", "ts", "event_type"]),
+                          (events.filter(~old), ["event_id", "ts", "event_type", "value"])):
+        rows = part.select(*columns)
+        rows.write.mode("append").parquet(f"{base}/in")
+        drain(spark, streams.read_table_stream(spark, f"{base}/in", rows), base)
+    return batch.read_merged(spark, f"{base}/out")
+
+
 # --- indicators --------------------------------------------------------------
 @case
 def indicator_flatten(spark, d):
@@ -508,6 +609,44 @@ def csv_export_roundtrip(spark, d):
     return spark.read.option("header", True).schema(table.schema).csv(path)
 
 
+@case
+def indicator_partial_reload(spark, d):
+    """One indicator is loaded again with restated values; the others' folders stay."""
+    path = scratch_path(spark, "indicators")
+    rows = stored(adapters.indicators(spark, d), "indicators")
+    batch.save_by_code(rows, path)
+    restated = rows.filter(F.col("indicator_code") == CODE).withColumn("value", F.col("value") + 1)
+    batch.reload_indicators(restated, [CODE], path)
+    return spark.read.parquet(path)
+
+
+@case
+def indicator_job(spark, d):
+    """Saved responses through the whole job: a full load, then one indicator alone."""
+    base = scratch_path(spark, "job")
+    adapters.save_payloads(spark, adapters.payloads(spark, d), f"{base}/in", "all")
+    run = {"registry": adapters.ORDER_INDICATORS, "loaded_at": adapters.LOADED_AT}
+    run_indicators(spark, f"{base}/in", f"{base}/full", **run)
+    run_indicators(spark, f"{base}/in", f"{base}/part", ["CNT"], existing=f"{base}/full", **run)
+    return spark.read.parquet(f"{base}/part")
+
+
+@case
+def payload_files_incremental(spark, d):
+    """Response files arrive in two parts, the second with restated years; each file is read once."""
+    base, facts = scratch_path(spark, "payloads"), stored(adapters.indicators(spark, d), "indicators")
+    keys = ["country_name", "indicator_code", "year"]
+    again = facts.filter("year >= 1997").withColumn("value", F.col("value") + 1000)
+    for label, part in (("first", facts), ("second", again)):
+        adapters.save_payloads(spark, adapters.payloads_of(part), f"{base}/in", label)
+        files = payload_stream(spark, f"{base}/in")
+        rows = indicators.flatten_payload(files, adapters.LOADED_AT, adapters.ORDER_INDICATORS,
+                                          ["file_time", "file_name"])
+        batches.upsert_stream(rows, keys, ["file_time", "file_name"], f"{base}/changes", f"{base}/checkpoint",
+                              AVAILABLE_NOW).awaitTermination()
+    return batches.read_current(spark, f"{base}/changes", keys).drop("file_time", "file_name")
+
+
 # --- evolution and upkeep ----------------------------------------------------
 @case
 def schema_evolution_union(spark, d):
@@ -518,6 +657,11 @@ def schema_evolution_union(spark, d):
     return batch.read_merged(spark, path)
 
 
+def to_instant(*day: int) -> datetime:
+    """A day's start in UTC, as Spark literals take it."""
+    return datetime(*day, tzinfo=timezone.utc)
+
+
 def stored_silver(spark, d):
     """Clean shipments in the files the de-duplication leaves; returns their path."""
     path = scratch_path(spark, "silver")
@@ -539,6 +683,28 @@ def zorder_identity(spark, d):
     return spark.read.parquet(path)
 
 
+@case
+def compact_small_files(spark, d):
+    """Clean shipments as one file of older and many files of newer events; the small ones are joined."""
+    path, middle = scratch_path(spark, "silver"), middle_time(spark, d)
+    rows = stored(silver(spark, d), "silver")
+    rows.filter(F.col("event_ts") < middle).coalesce(1).write.parquet(path)
+    large = max(compaction.file_sizes(spark.read.parquet(path)).values())
+    rows.filter(F.col("event_ts") >= middle).repartition(24).write.mode("append").parquet(path)
+    compaction.compact_small_files(spark, path, small=large, target=max(large, 1 << 16))
+    return spark.read.parquet(path)
+
+
+@case
+def zorder_file_pruning(spark, d):
+    """Three days of one carrier, from the few clustered files that hold some."""
+    path, columns = scratch_path(spark, "zorder"), ["carrier_code", "event_ts"]
+    upkeep.zorder_layout(spark, stored_silver(spark, d), path, columns, files=64)
+    refresh_file_stats(spark, path, columns)
+    days = Between("event_ts", to_instant(2024, 1, 9), to_instant(2024, 1, 12))
+    return read_matching(spark, path, [equal("carrier_code", "UPS"), days])
+
+
 @case
 def table_inventory(spark, d):
     """Three of the four shipment tables are there, so the set is degraded."""

@@ -284,7 +284,7 @@ CARRIERS = """SELECT
     0.75::DOUBLE + (event_id % 25) / 100.0::DOUBLE AS on_time_rate, value AS avg_delay_minutes,
     strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS report_ts, CAST(NULL AS VARCHAR) AS _corrupt_record,
     ts + INTERVAL 1 SECOND AS kafka_ts
-  FROM events WHERE event_id % 10 = 0"""
+  FROM events"""
 
 WAREHOUSES = """SELECT 'WH-' || (user_id % 6) AS warehouse_id,
     CASE event_id % 4 WHEN 0 THEN 'INBOUND' WHEN 1 THEN 'OUTBOUND' WHEN 2 THEN 'SCAN'
@@ -293,27 +293,27 @@ WAREHOUSES = """SELECT 'WH-' || (user_id % 6) AS warehouse_id,
     CAST(1 + event_id % 24 AS INTEGER) AS dock_door,
     strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS op_ts, CAST(NULL AS VARCHAR) AS _corrupt_record,
     ts + INTERVAL 1 SECOND AS kafka_ts
-  FROM events WHERE event_id % 5 = 0"""
+  FROM events"""
 
 # --- indicators --------------------------------------------------------------
 INDICATORS = """WITH yearly AS (
   SELECT n_nationkey, n_name, CAST(year(o_orderdate) AS INTEGER) AS year,
          CAST(SUM(CAST(o_totalprice AS DECIMAL(20,4))) AS DOUBLE) AS total,
-         CAST(COUNT(*) AS DOUBLE) AS orders
+         CAST(COUNT(*) AS DOUBLE) AS orders, MAX(o_orderdate) AS newest
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   GROUP BY ALL),
 long AS (
   SELECT n_nationkey, n_name, 'ORD.REV' AS indicator_code, 'Order revenue' AS indicator_name,
-         year, total AS value FROM yearly
-  UNION ALL SELECT n_nationkey, n_name, 'ORD.CNT', 'Number of orders', year, orders FROM yearly
-  UNION ALL SELECT n_nationkey, n_name, 'ORD.AOV', 'Average order value', year, total / orders
-  FROM yearly
-  UNION ALL SELECT n_nationkey, n_name, 'ORD.REV', 'Order revenue', 2002, NULL
+         year, total AS value, newest FROM yearly
+  UNION ALL SELECT n_nationkey, n_name, 'ORD.CNT', 'Number of orders', year, orders, newest FROM yearly
+  UNION ALL SELECT n_nationkey, n_name, 'ORD.AOV', 'Average order value', year, total / orders,
+    newest FROM yearly
+  UNION ALL SELECT n_nationkey, n_name, 'ORD.REV', 'Order revenue', 2002, NULL, NULL
   FROM nation WHERE n_nationkey % 7 = 0),
 ind AS (
   SELECT 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS country_code,
          n_name AS country_name, indicator_code, indicator_name, year, value,
-         TIMESTAMP '2024-01-01 00:00:00' AS loaded_at
+         CAST(newest AS TIMESTAMP) AS loaded_at
   FROM long),
 filled AS (SELECT * FROM ind WHERE value IS NOT NULL),
 shown AS (
@@ -364,6 +364,12 @@ ORACLE = {
     "orders_fact_partition_pruned": FACT + """SELECT order_id, purchase_year, purchase_month,
         total_payment, primary_category FROM fact
         WHERE purchase_year = 1997 AND purchase_month <= 6""",
+    "orders_fact_bucketed": FACT + "SELECT * FROM fact",
+    "csv_quarantine": f"""WITH {ITEMS} SELECT order_id, order_item_id, product_id, seller_id,
+        CASE WHEN order_id % 13 <> 0 THEN price END AS price,
+        CASE WHEN order_id % 17 <> 0 THEN freight_value END AS freight_value,
+        CASE WHEN order_id % 17 = 0 THEN 'cells' WHEN order_id % 13 = 0 THEN 'value' END AS reason
+        FROM items""",
     # customers and revenue
     "customer_base": BASE + "SELECT * FROM base",
     "rfm_scores": SCORED + """SELECT customer_unique_id, recency_days, frequency, monetary,
@@ -441,10 +447,32 @@ ORACLE = {
         COALESCE(sla_breach_rate, 0) AS sla_breach_rate,
         COALESCE(CAST(p95_delay_minutes AS DOUBLE), 0) AS p95_delay_minutes
         FROM kpis WHERE carrier_code = 'UPS' AND window_start >= TIMESTAMP '2024-01-14 12:00:00'""",
+    "stored_alerts": ALERTS + """SELECT * REPLACE (COALESCE(delay_minutes, 0) AS delay_minutes,
+        COALESCE(sla_breached, FALSE) AS sla_breached, CAST(event_ts AS VARCHAR) AS event_ts),
+        CAST(event_ts + INTERVAL 1 MINUTE AS VARCHAR) AS alert_generated_at
+        FROM (SELECT * FROM alerts WHERE carrier_code = 'DHL' AND delay_severity = 'HIGH'
+              ORDER BY event_ts DESC, shipment_id LIMIT 100)""",
+    "stored_kpis": KPIS + """SELECT carrier_code, CAST(window_start AS VARCHAR) AS window_start,
+        CAST(window_end AS VARCHAR) AS window_end, total_events, delayed_events,
+        COALESCE(avg_delay_minutes, 0) AS avg_delay_minutes,
+        COALESCE(sla_breach_rate, 0) AS sla_breach_rate,
+        COALESCE(CAST(p95_delay_minutes AS DOUBLE), 0) AS p95_delay_minutes
+        FROM kpis WHERE carrier_code = 'FEDEX' AND window_start >= TIMESTAMP '2024-01-19 12:00:00'""",
+    "carrier_kpis_hourly": KPIS.replace("INTERVAL 5 MINUTE", "INTERVAL 1 HOUR") + "SELECT * FROM kpis",
+    "stream_quarantine": BRONZE + """SELECT shipment_id, _corrupt_record, kafka_ts, "partition", "offset"
+        FROM bronze""",
+    "stream_late_rows": SILVER + """, middle AS (
+        SELECT epoch_ms(CAST((epoch_ms(MIN(ts)) + epoch_ms(MAX(ts))) // 2 AS BIGINT)) AS t FROM events),
+      mark AS (SELECT MAX(event_ts) - INTERVAL 10 MINUTE AS watermark FROM silver, middle WHERE event_ts >= t)
+      SELECT shipment_id, event_ts, carrier_code,
+        CASE WHEN event_ts < t AND event_ts < watermark THEN watermark END AS watermark
+      FROM silver, middle, mark""",
+    "stream_schema_evolution": """SELECT event_id, ts, event_type,
+        CASE WHEN event_type NOT IN ('signup', 'view') THEN value END AS value FROM events""",
     # indicators
     "indicator_flatten": INDICATORS + """SELECT * REPLACE (
         CASE WHEN CAST(substr(country_code, 2, 2) AS INTEGER) % 5 = 0 THEN '' ELSE country_code END
-          AS country_code) FROM filled""",
+          AS country_code, TIMESTAMP '2024-01-01 00:00:00' AS loaded_at) FROM filled""",
     "indicator_scan": INDICATORS + "SELECT * FROM filled",
     "indicator_load": INDICATORS + "SELECT * FROM ind",
     "indicator_layout_identity": INDICATORS + "SELECT * FROM ind",
@@ -472,6 +500,15 @@ ORACLE = {
         FROM (VALUES ('REV', 'ORD.REV'), ('CNT', 'ORD.CNT'), ('AOV', 'ORD.AOV'),
                      ('RET', 'ORD.RET')) AS r(key, code)
         LEFT JOIN filled f ON f.indicator_code = r.code GROUP BY key, code""",
+    "indicator_partial_reload": INDICATORS + """SELECT * REPLACE (
+        CASE WHEN indicator_code = 'ORD.REV' THEN value + 1 ELSE value END AS value) FROM ind""",
+    "indicator_job": INDICATORS + """SELECT * REPLACE (
+        CASE WHEN CAST(substr(country_code, 2, 2) AS INTEGER) % 5 = 0 THEN '' ELSE country_code END
+          AS country_code, TIMESTAMP '2024-01-01 00:00:00' AS loaded_at) FROM filled""",
+    "payload_files_incremental": INDICATORS + """SELECT * REPLACE (
+        CASE WHEN CAST(substr(country_code, 2, 2) AS INTEGER) % 5 = 0 THEN '' ELSE country_code END
+          AS country_code, TIMESTAMP '2024-01-01 00:00:00' AS loaded_at,
+        CASE WHEN year >= 1997 THEN value + 1000 ELSE value END AS value) FROM filled""",
     "latest_snapshot":
         INDICATORS + "SELECT country_name, country_code, year, value FROM latest",
     "compare_latest":
@@ -489,6 +526,9 @@ ORACLE = {
     "schema_evolution_union": """SELECT event_id, ts, event_type,
         CASE WHEN event_type NOT IN ('signup', 'view') THEN value END AS value FROM events""",
     "compact_identity": SILVER + "SELECT * FROM silver",
+    "compact_small_files": SILVER + "SELECT * FROM silver",
+    "zorder_file_pruning": SILVER + """SELECT * FROM silver WHERE carrier_code = 'UPS'
+        AND event_ts BETWEEN TIMESTAMP '2024-01-09' AND TIMESTAMP '2024-01-12'""",
     "zorder_identity": SILVER + "SELECT * FROM silver",
     "table_inventory": ALERTS + """SELECT 'bronze/shipments' AS table_name, TRUE AS found,
         COUNT(*) AS row_count, MAX(kafka_ts) AS newest, 'degraded' AS status FROM messages

@@ -18,7 +18,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(ORACLE) == set(cases.CASES) and len(ORACLE) == 68
+    assert set(ORACLE) == set(cases.CASES) and len(ORACLE) == 81
 
 
 @pytest.mark.parametrize("name", list(cases.CASES))

@@ -60,8 +60,8 @@ def flatten_records(body: Column) -> Column:
 
 
 def flatten_payload(payloads: DataFrame, loaded_at: datetime | None = None,
-                    registry: Registry = INDICATORS) -> DataFrame:
-    """Payload rows (key, body) to indicator rows.
+                    registry: Registry = INDICATORS, keep: Iterable[str] = ()) -> DataFrame:
+    """Payload rows (key, body) to indicator rows, with the payload columns to ``keep``.
 
     Records without value, without country or with a bad year or number are
     skipped; so are payloads of keys the registry lacks.
@@ -69,7 +69,7 @@ def flatten_payload(payloads: DataFrame, loaded_at: datetime | None = None,
     known = F.broadcast(registry_frame(payloads.sparkSession, registry))  # fixed, a few rows
     stamp = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
     records = (payloads.join(known, "key")
-               .select("indicator_code", "indicator_name",
+               .select("indicator_code", "indicator_name", *keep,
                        F.explode(flatten_records(F.col("body"))).alias("r")))
     rows = records.filter(F.col("r.country").isNotNull()).select(
         F.coalesce("r.countryiso3code", F.lit("")).alias("country_code"),
@@ -77,7 +77,7 @@ def flatten_payload(payloads: DataFrame, loaded_at: datetime | None = None,
         "indicator_code", "indicator_name",
         F.col("r.date").try_cast("int").alias("year"),
         F.col("r.value").try_cast("double").alias("value"),
-        stamp.alias("loaded_at"))
+        stamp.alias("loaded_at"), *keep)
     return rows.filter(F.col("year").isNotNull() & F.col("value").isNotNull())
 
 

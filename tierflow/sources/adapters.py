@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierflow.functions.numbers import MONEY_UNITS, money
 from tierflow.operators.indicators import Registry
+from tierflow.session import file_system, make_folder, plain_name, scratch_path
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 PLAIN = "yyyy-MM-dd HH:mm:ss"
@@ -173,7 +174,7 @@ def _envelope(events: DataFrame, message: Column) -> DataFrame:
 
 def carrier_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event_id")
-    return _envelope(table(spark, sf_dir, "events").filter(_every(10)), F.to_json(F.struct(
+    return _envelope(table(spark, sf_dir, "events"), F.to_json(F.struct(
         _pick(F.col("user_id") % 4, ["FEDEX", "UPS", "DHL", "USPS"]).alias("carrier_code"),
         _pick(event % 3, ["WEST", "CENTRAL", "EAST"]).alias("region"),
         (F.lit(100) + event % 4900).cast("int").alias("active_shipments"),
@@ -184,7 +185,7 @@ def carrier_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def warehouse_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     event, user = F.col("event_id"), F.col("user_id")
-    return _envelope(table(spark, sf_dir, "events").filter(_every(5)), F.to_json(F.struct(
+    return _envelope(table(spark, sf_dir, "events"), F.to_json(F.struct(
         F.concat(F.lit("WH-"), user % 6).alias("warehouse_id"),
         _pick(event % 4, ["INBOUND", "OUTBOUND", "SCAN", "HOLD"]).alias("operation"),
         F.concat(F.lit("SHP-"), user).alias("shipment_id"),
@@ -195,22 +196,23 @@ def warehouse_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- indicators --------------------------------------------------------------
 def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three measures per nation and year; some nations have a row without
-    value in 2002."""
+    """Three measures per nation and year, loaded at the time of its newest order;
+    some nations have a row without value (and load time) in 2002."""
     per_customer = (table(spark, sf_dir, "orders")
                     .groupBy("o_custkey", F.year("o_orderdate").alias("year"))
                     .agg(F.sum(money("o_totalprice")).alias("total"),
-                         F.count(F.lit(1)).alias("orders")))
+                         F.count(F.lit(1)).alias("orders"), F.max("o_orderdate").alias("newest")))
     sums = (per_customer.join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
                               F.col("o_custkey") == F.col("c_custkey"))
             .groupBy("c_nationkey", "year")
             .agg((F.sum("total").cast("double") / MONEY_UNITS).alias("total"),
-                 F.sum("orders").cast("double").alias("orders")))
+                 F.sum("orders").cast("double").alias("orders"), F.max("newest").alias("loaded_at")))
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    measures = sums.select("c_nationkey", "year", F.expr(
+    measures = sums.select("c_nationkey", "year", "loaded_at", F.expr(
         "stack(3, 'REV', total, 'CNT', orders, 'AOV', total / orders) AS (key, value)"))
     empty = nations.filter(_every(7, "n_nationkey")).select(
         F.col("n_nationkey").alias("c_nationkey"), F.lit(2002).alias("year"),
+        F.lit(None).cast("timestamp").alias("loaded_at"),
         F.lit("REV").alias("key"), F.lit(None).cast("double").alias("value"))
     code = F.create_map(*[F.lit(x) for k, (c, _) in ORDER_INDICATORS.items() for x in (k, c)])
     name = F.create_map(*[F.lit(x) for k, (_, n) in ORDER_INDICATORS.items() for x in (k, n)])
@@ -221,7 +223,7 @@ def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("country_name"),
                     code[F.col("key")].alias("indicator_code"),
                     name[F.col("key")].alias("indicator_name"),
-                    "year", "value", F.lit(LOADED_AT).cast("timestamp").alias("loaded_at")))
+                    "year", "value", F.col("loaded_at").cast("timestamp").alias("loaded_at")))
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,7 +232,11 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every fifth country comes without code, and each page ends with a record
     with a bad year. Two pages without records are added per indicator.
     """
-    facts = indicators(spark, sf_dir)
+    return payloads_of(indicators(spark, sf_dir))
+
+
+def payloads_of(facts: DataFrame) -> DataFrame:
+    """Indicator rows as response pages."""
     keys = F.create_map(*[F.lit(x) for k, (c, _) in ORDER_INDICATORS.items() for x in (c, k)])
     coded = F.substring("country_code", 2, 2).cast("int") % 5 != 0
     record = F.to_json(F.struct(
@@ -247,3 +253,25 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.explode(F.array(F.lit('[{"message":"none"}]'), F.lit('[{"page":1},null]')))
                      .alias("body")))
     return full.unionAll(bare)
+
+
+def save_payloads(spark: SparkSession, pages: DataFrame, folder: str, label: str) -> None:
+    """Response pages as files ``<key>.<label>-<page>.json``: one page an indicator and year, so they are few."""
+    numbered = pages.withColumn("page", F.row_number().over(Window.partitionBy("key").orderBy("body")))
+    staging = scratch_path(spark, "payloads")
+    numbered.repartition("key", "page").write.partitionBy("key", "page").text(staging)
+    make_folder(spark, folder)
+    for name in spark.read.text(staging, wholetext=True).inputFiles():
+        key, page = (part.split("=", 1)[1] for part in plain_name(name).split("/")[-3:-1])
+        system, source = file_system(spark, plain_name(name))
+        _, target = file_system(spark, f"{folder}/{key}.{label}-{page}.json")
+        system.rename(source, target)
+
+
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order items as CSV lines: some with a price that is no number, some cut short."""
+    item, key = order_items(spark, sf_dir), F.col("order_id")
+    price = F.when(_every(13, "order_id"), "n/a").otherwise(F.col("price").cast("string"))
+    cells = [key, F.col("order_item_id"), F.col("product_id"), F.col("seller_id"), price]
+    return item.select(F.when(_every(17, "order_id"), F.concat_ws(",", *cells)).otherwise(
+        F.concat_ws(",", *cells, F.col("freight_value"))).alias("value"))

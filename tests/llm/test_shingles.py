@@ -113,3 +113,65 @@ def test_prefixes_of_similar_sets_share_what_is_promised():
             continue
         (pa, least_a), (pb, least_b) = (shingle_join.prefix_sizes(len(x), 80) for x in (a, b))
         assert len(np.intersect1d(a[:pa], b[:pb])) >= max(least_a, least_b)
+
+
+def test_one_of_each_with_clashing_and_dotted_columns(frame):
+    text = " ".join(f"w{i}" for i in range(40))
+    table = frame("doc_id long, text string, _document long, `a.b` string, _gone int", (1, text, 7, "x", 1),
+                  (2, text, 8, "y", 2), (3, "another text", 9, "z", 3))
+    kept = shingle_join.one_of_each(table)
+    assert kept.columns == table.columns
+    assert sorted(map(tuple, kept.collect())) == [(1, text, 7, "x", 1), (3, "another text", 9, "z", 3)]
+
+
+def test_passage_in_every_text(frame, monkeypatch):
+    """Its tokens come last in the order, so they pair no texts; near copies are still found."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = [(i, " ".join([*(f"u{i}-{j}" for j in range(80)), passage])) for i in range(120)]
+    docs += [(200 + i, docs[i][1] + " end") for i in range(0, 120, 3)]
+    table = frame("doc_id long, text string", *docs)
+    levels, made = shingle_join.token_levels(table), []
+    write = shingle_join.stored
+    monkeypatch.setattr(shingle_join, "stored", lambda df, label: made.append((label, write(df, label))) or made[-1][1])
+    assert result(shingle_join.similar_texts(table)) == brute(docs)
+    pairs = [df.count() for label, df in made if label == "shingle-pairs"]
+    assert levels.max() >= 4 * 7 - 2 and pairs[0] < len(docs)
+
+
+def test_order_is_one_for_all_sets():
+    rng = np.random.default_rng(8)
+    levels = rng.integers(0, 60, 1 << shingle_join.CELL_BITS).astype(np.uint8)
+    tokens = np.unique(rng.integers(0, 2**63, 500).astype(np.uint64) * np.uint64(2))
+    numbers = shingle_join.ordered(tokens, levels)
+    assert len(np.unique(numbers)) == len(tokens)
+    level = levels[(tokens >> np.uint64(64 - shingle_join.CELL_BITS)).astype(int)]
+    assert (np.diff(level[np.argsort(numbers)].astype(int)) >= 0).all()
+    assert set(shingle_join.first_tokens(tokens, levels, 50)) == set(np.sort(numbers)[:50])
+
+
+def test_union_bound_of_a_bitmap():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        union, query = (np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (300, 80))
+        query = np.unique(np.concatenate([query, union[:rng.integers(0, 200)]]))
+        bound = shingle_join.Union.of(union).most_shared(query)
+        shared = len(np.intersect1d(union, query))
+        assert shared <= bound <= shared + 30
+    assert shingle_join.Union.of(union[:0]).most_shared(query) == 0
+
+
+def test_groups_of_near_copies_in_several_blocks(frame, monkeypatch):
+    """Components that are linked only across blocks, at sizes around the threshold."""
+    rng = random.Random(12)
+    docs = []
+    for g in range(6):
+        base = [f"g{g}w{i}" for i in range(50 + g)]
+        for i in range(30):
+            words = base[:50 + rng.randint(-6, g)]
+            for _ in range(rng.randint(0, 2)):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(40)}"
+            docs.append((100 * g + i, " ".join(words)))
+    for rows, queries in ((4, 3), (16, 256)):
+        monkeypatch.setattr(shingle_join, "BLOCK_ROWS", rows)
+        monkeypatch.setattr(shingle_join, "QUERIES", queries)
+        assert result(shingle_join.similar_texts(frame("doc_id long, text string", *docs))) == brute(docs)

@@ -75,6 +75,13 @@ def pick(df: DataFrame, *names: str) -> list[Column]:
     return [df[n] for n in names]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    while name in df.columns:
+        name = "_" + name
+    return name
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of ``edges`` (a long, b long) as (node, component).
 

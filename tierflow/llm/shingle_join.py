@@ -1,20 +1,22 @@
 """Exact n-gram Jaccard self-join with a token-group matrix (operator 5).
 
 1. Every text becomes its set of hashed word shingles. Texts with equal sets are
-   one class from here on.
-2. Prefix tokens: with tokens in the order of their hashes, two sets that are
-   similar enough share several of their first n - ceil(t n) + l tokens, l being
-   a tenth of n. Classes with fewer tokens there that any other class has are
-   left out.
+   one class from here on. A table of fixed size counts tokens by their cells, so
+   that tokens can be put in order, rare ones first.
+2. Prefix tokens: in that order, two sets that are similar enough share several of
+   their first n - ceil(t n) + l tokens, l being a small part of n. Tokens of
+   passages that many texts have come late and are in few prefixes. Classes with
+   fewer tokens there that any other class has are left out.
 3. Each class joins the group of the smallest class it shares most prefix tokens
    with: groups of similar documents, cut into blocks of bounded size.
-4. The matrix, prefix token by block, is read in Spark: blocks that share enough
-   prefix tokens are opened, that is, their texts are fetched and shingled. A
-   query's overlap with the union of an opened block's tokens bounds its overlap
-   with each member; where it reaches t of the query, members are checked exactly.
-5. First each block is searched with its own members and its group's leader.
-   Members that are connected by then need no further link between them, so
-   among blocks only tokens that still lie in different components are joined.
+4. Each block is searched with its own members and its group's leader. Members that
+   are connected by then need no further link between them. The union of the
+   block's tokens is stored, as a bitmap.
+5. The matrix, prefix token by block, is read in Spark: a class of a smaller
+   component is a query to the blocks where a larger one has enough of its prefix
+   tokens. The query's overlap with the stored union bounds its overlap with each
+   member. Only blocks where that reaches t of the query are opened, that is, their
+   texts are fetched and shingled, and members are checked exactly.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import components, stored, worker_cache
+from tierflow.llm.common import components, free_name, stored, worker_cache
 from tierflow.llm.word_bpe import Numbers, slices
 
 WORDS = 5
@@ -37,9 +39,13 @@ BLOCK_ROWS = 128
 BLOCK_BYTES = 2 << 20
 FILTER_BITS = 1 << 23
 # Prefix tokens of a set beyond those that make one shared token certain, per cent of its size.
-MORE = 10
+MORE = 2
+CELL_BITS = 22  # of a token's hash: its cell in the table of counts
+CELL_PARTS = 64  # rows of that table
+UNION_BITS = 16  # of a block's bitmap for each token of its union
+QUERIES = 256  # queries to a block that are looked at together
 
-KEEP = 400_000  # distinct words a worker remembers
+KEEP = 100_000  # distinct words a worker remembers
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -105,14 +111,70 @@ def prefix_sizes(n: int, percent: int) -> tuple[int, int]:
     return min(n, n - overlap + max(1, MORE * n // 100)), max(1, MORE * overlap // 100)
 
 
-def shingle_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def _tokens(sets: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+
+
+def token_levels(docs: DataFrame, words: int = WORDS) -> np.ndarray:
+    """How many rows have a token of each cell, as four times the binary logarithm.
+
+    Each task sends one table of counts, whatever its rows; the sum is made part by
+    part, one row after the other. Its 4 MB are the same for every input.
+    """
+    cells = 1 << CELL_BITS
+    width = cells // CELL_PARTS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed, seen = shingler(words), np.zeros(cells, np.uint32)
+        for batch in batches:
+            sizes = pc.binary_length(batch.column(0)).fill_null(0).to_numpy(zero_copy_only=False)
+            for begin, end in slices(sizes):
+                tokens = _tokens(hashed.sets(batch.column(0).slice(begin, end - begin).to_pylist()))
+                seen += np.bincount((tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=cells).astype(np.uint32)
+        parts = [(i, seen[i * width:(i + 1) * width]) for i in range(CELL_PARTS)]
+        yield _count_batch([(i, c) for i, c in parts if c.any()])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums.setdefault(part, np.zeros(width, np.int64))
+                sums[part] += np.frombuffer(counts.as_py(), np.uint32)
+        yield _count_batch([(p, np.ceil(4 * np.log2(c + 1)).astype(np.uint8)) for p, c in sums.items()])
+
+    layout, levels = "part int, counts binary", np.zeros(cells, np.uint8)
+    for row in (docs.select("text").mapInArrow(count, layout).repartition(CELL_PARTS, "part")
+                .mapInArrow(add, layout).collect()):
+        levels[row.part * width:(row.part + 1) * width] = np.frombuffer(row.counts, np.uint8)
+    return levels
+
+
+def _count_batch(parts: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()),
+                                       pa.array([c.tobytes() for _, c in parts], pa.binary())], ["part", "counts"])
+
+
+def ordered(tokens: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """Numbers for tokens that put those of emptier cells first."""
+    level = levels[(tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)].astype(np.uint64)
+    return (level << np.uint64(55)) | (tokens >> np.uint64(9))
+
+
+def first_tokens(tokens: np.ndarray, levels: np.ndarray, many: int) -> np.ndarray:
+    """The first ``many`` of the ordered numbers, in any order."""
+    numbers = ordered(tokens, levels)
+    return np.partition(numbers, many - 1)[:many] if many < len(numbers) else numbers
+
+
+def shingle_sets(docs: DataFrame, levels: np.ndarray, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, s1, s2, prefix, bytes) of every row: size, two hashes of
     the whole set, its prefix tokens and the size of the text. Of equal sets that
     one slice of texts holds the first with a doc_id alone has its prefix."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    shared_levels = docs.sparkSession.sparkContext.broadcast(levels)  # of one size for every input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = shingler(words)
+        hashed, by_cell = shingler(words), shared_levels.value
         for batch in batches:
             texts = batch.column(1)
             sizes = pc.utf8_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
@@ -125,8 +187,8 @@ def shingle_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
                 named = np.flatnonzero(batch.column(0).slice(begin, end - begin).is_valid().to_numpy(
                     zero_copy_only=False))
                 own = set(named[np.unique(sums[named], return_index=True)[1]].tolist())
-                prefixes = [s[:prefix_sizes(len(s), percent)[0] if i in own else 0].view(np.int64)
-                            for i, s in enumerate(sets)]
+                prefixes = [first_tokens(s, by_cell, prefix_sizes(len(s), percent)[0]).view(np.int64)
+                            if i in own and len(s) else np.zeros(0, np.int64) for i, s in enumerate(sets)]
                 ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
                 flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([
@@ -167,27 +229,36 @@ class Block:
         return np.flatnonzero(100 * shared >= percent * (len(query) + self.sizes - shared))
 
 
-def _search(queries: list, target: Block, ids: np.ndarray, owners: np.ndarray, percent: int,
-            links: list[tuple[int, int]]) -> None:
-    """Link queries (id, component, set) with members of other components, once for each."""
-    for query, component, tokens in queries:
-        if not (owners != component).any():
-            continue
-        found = target.linked(tokens, percent)
-        found = found[owners[found] != component]
-        for i in np.unique(owners[found], return_index=True)[1]:
-            links.append((query, int(ids[found[i]])))
+class Union:
+    """A bitmap of the tokens of a block, UNION_BITS for each; other tokens may seem to be there."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    @classmethod
+    def of(cls, tokens: np.ndarray) -> Union:
+        size = 1 << max(10, int(UNION_BITS * len(tokens)).bit_length())
+        bits = np.zeros(size // 8, np.uint8)
+        at = (tokens % np.uint64(size)).astype(np.int64)
+        np.bitwise_or.at(bits, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+        return cls(bits)
 
+    def most_shared(self, query: np.ndarray) -> int:
+        """A bound of the tokens that the query shares with any member of the block."""
+        at = (query % np.uint64(8 * len(self.bits))).astype(np.int64)
+        return int(((self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).sum())
 
-BLOCK = ("g long, b int, ids array<long>, components array<long>, sizes array<long>, tokens binary")
+
+FOUND = "a long, b long, g long, block int, tokens binary"
 LINKS = "a long, b long"
 
 
-def _own_links(words: int, percent: int):
+def _inside(words: int, percent: int):
+    """Links in a block, and the union of its tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = shingler(words)
         for batch in batches:
-            for ids, texts in zip(batch.column(0), batch.column(1)):
+            for g, b, ids, texts in zip(*(batch.column(i) for i in range(4))):
                 sets = hashed.sets(texts.as_py())
                 ids = np.array(ids.as_py())
                 links: list[tuple[int, int]] = []
@@ -196,46 +267,68 @@ def _own_links(words: int, percent: int):
                 block = Block(sets)
                 for i, tokens in enumerate(sets):
                     for j in block.linked(tokens, percent):
-                        a, b = root[i], root[j]
-                        if a != b:
-                            root[root == max(a, b)] = min(a, b)
+                        one, other = root[i], root[j]
+                        if one != other:
+                            root[root == max(one, other)] = min(one, other)
                             links.append((int(ids[i]), int(ids[j])))
-                yield _link_batch(links)
+                n = len(links)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([x for x, _ in links] + [None], pa.int64()),
+                    pa.array([x for _, x in links] + [None], pa.int64()),
+                    pa.array([None] * n + [g.as_py()], pa.int64()), pa.array([None] * n + [b.as_py()], pa.int32()),
+                    pa.array([None] * n + [Union.of(block.union).bits.tobytes()], pa.binary())],
+                    [c.split()[0] for c in FOUND.split(", ")])
 
     return run
 
 
-def _block_sets(words: int):
-    """Members of blocks with the tokens of all their sets in one buffer."""
+def _query_sets(words: int):
+    """(key, id, component, tokens) of queries, from their texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = shingler(words)
         for batch in batches:
-            for g, b, ids, own, texts in zip(*(batch.column(i) for i in range(5))):
-                sets = hashed.sets(texts.as_py())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([g.as_py()]), pa.array([b.as_py()], pa.int32()), pa.array([ids.as_py()]),
-                    pa.array([own.as_py()]), pa.array([list(map(len, sets))], pa.list_(pa.int64())),
-                    pa.array([np.concatenate(sets).astype("<u8").tobytes()], pa.binary())],
-                    ["g", "b", "ids", "components", "sizes", "tokens"])
+            for begin, end in slices(pc.binary_length(batch.column(3)).to_numpy(zero_copy_only=False)):
+                part = batch.slice(begin, end - begin)
+                sets = hashed.sets(part.column(3).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], pa.array([x.astype("<u8").tobytes() for x in sets], pa.binary())],
+                    ["key", "id", "component", "tokens"])
 
     return run
 
 
-def _cross_links(percent: int):
-    def member_sets(sizes: pa.Scalar, tokens: pa.Scalar) -> list[np.ndarray]:
-        flat = np.frombuffer(tokens.as_py(), "<u8")
-        return np.split(flat, np.cumsum(sizes.as_py())[:-1])
+def _bounded(percent: int):
+    """Queries to a block whose bound by the block's union is large enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for g, b, union, queries in zip(*(batch.column(i) for i in range(4))):
+                bits = Union(np.frombuffer(union.as_py(), np.uint8))
+                keys = []
+                for key, tokens in zip(queries.values.field("key"), queries.values.field("tokens")):
+                    tokens = np.frombuffer(tokens.as_py(), "<u8")
+                    if bits.most_shared(tokens) >= least_overlap(len(tokens), percent):
+                        keys.append(key.as_py())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.int64()), pa.array([g.as_py()] * len(keys), pa.int64()),
+                     pa.array([b.as_py()] * len(keys), pa.int32())], ["key", "g", "b"])
+
+    return run
+
 
+def _opened(words: int, percent: int):
+    """Links of queries with members of an opened block, one for each other component."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, target = None, Block([])
+        hashed = shingler(words)
         for batch in batches:
-            for ids, own, sizes, tokens, g, b, ids2, own2, sizes2, tokens2 in zip(
-                    *(batch.column(i) for i in range(10))):
+            for members, queries in zip(batch.column(0), batch.column(1)):
+                ids, owners = (members.values.field(c).to_numpy() for c in ("id", "component"))
+                block = Block(hashed.sets(members.values.field("text").to_pylist()))
                 links: list[tuple[int, int]] = []
-                if name != (g, b):  # pairs come by their second block
-                    name, target = (g, b), Block(member_sets(sizes2, tokens2))
-                _search(list(zip(ids.as_py(), own.as_py(), member_sets(sizes, tokens))), target,
-                        np.array(ids2.as_py()), np.array(own2.as_py()), percent, links)
+                for query, component, tokens in zip(*(queries.values.field(c) for c in ("id", "component", "tokens"))):
+                    found = block.linked(np.frombuffer(tokens.as_py(), "<u8"), percent)
+                    found = found[owners[found] != component.as_py()]
+                    for i in np.unique(owners[found], return_index=True)[1]:
+                        links.append((query.as_py(), int(ids[found[i]])))
                 yield _link_batch(links)
 
     return run
@@ -255,7 +348,7 @@ def similar_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     doc_id (component null). Rows that share a doc_id share its component.
     Other columns are ignored; an empty table gives an empty one.
     """
-    sets = stored(shingle_sets(docs, words, percent), "shingle-sets")
+    sets = stored(shingle_sets(docs, token_levels(docs, words), words, percent), "shingle-sets")
     with_text = sets.where("n_shingles > 0 and doc_id is not null")
     classes = stored(with_text.groupBy("s1", "s2", "n_shingles").agg(
         F.min("doc_id").alias("id"), F.max("bytes").alias("bytes")), "shingle-classes")
@@ -268,9 +361,11 @@ def similar_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     blocks = stored(_blocks(shared, named), "shingle-groups")
     texts = stored(_texts_of(docs.select(F.col("doc_id").alias("id"), "text"), blocks.select("id")),
                    "shingle-texts")
-    first = stored(_links_inside(blocks, texts, words, percent), "shingle-links")
+    inside = stored(_links_inside(blocks, texts, words, percent), "shingle-inside")
+    first = inside.where("a is not null").select("a", "b")
+    unions = inside.where("g is not null").select("g", F.col("block").alias("b"), "tokens")
     parts = stored(components(first), "shingle-parts")
-    more = stored(_links_across(shared, blocks, texts, parts, words, percent), "shingle-links")
+    more = stored(_links_across(shared, blocks, unions, texts, parts, words, percent), "shingle-links")
     final = components(first.union(more)).withColumnRenamed("node", "id")
     own = classes.join(final, "id", "left").select(
         "s1", "s2", "n_shingles", F.coalesce("component", "id").alias("_component"))
@@ -337,61 +432,57 @@ def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _links_inside(blocks: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links that connect what is connected inside each block together with its leader."""
+    """Links that connect what is connected inside each block together with its leader, and its union."""
     members = blocks.select("id", "g", "b").union(
         blocks.select(F.col("leader").alias("id"), "g", "b")).distinct()
     filled = members.join(texts, "id").groupBy("g", "b").agg(
         F.collect_list(F.struct("id", "text")).alias("members"))
-    return filled.select(F.col("members.id").alias("ids"), F.col("members.text").alias("texts")).mapInArrow(
-        _own_links(words, percent), LINKS)
+    return filled.select("g", "b", F.col("members.id").alias("ids"), F.col("members.text").alias("texts")).mapInArrow(
+        _inside(words, percent), FOUND)
+
 
+def _dealt(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """(g, b, queries): the queries to each block, in lists of about QUERIES."""
+    many = pairs.groupBy("g", "b").agg(F.ceil(F.count("*") / QUERIES).alias("parts"))
+    return (pairs.join(many, ["g", "b"]).withColumn("part", F.pmod(F.xxhash64("key"), "parts"))
+            .join(sets, "key").groupBy("g", "b", "part").agg(F.collect_list(F.struct(*columns)).alias("queries")))
 
-def _links_across(shared: DataFrame, blocks: DataFrame, texts: DataFrame, parts: DataFrame,
+
+def _links_across(shared: DataFrame, blocks: DataFrame, unions: DataFrame, texts: DataFrame, parts: DataFrame,
                   words: int, percent: int) -> DataFrame:
-    """Links between components of different blocks.
+    """Links between components: classes of the smaller one are queries to blocks of the larger one.
 
-    Two blocks are compared if their rows of the matrix have as many tokens in
-    common as a query of either shares at least with a similar enough class.
+    A query goes to a block that has enough of its prefix tokens from larger
+    components and members of fitting sizes; so a component of many members
+    is asked by the few others, not each of its members by all.
     """
     owned = blocks.join(parts, blocks.id == parts.node, "left").select(
         "key", "id", "g", "b", F.coalesce("component", "id").alias("component"), "n")
     owned = stored(owned, "shingle-owned")
-    overlap = F.ceil(F.min("n") * percent / 100)
-    needs = owned.groupBy("g", "b").agg(
-        F.greatest(F.lit(1), F.floor(overlap * MORE / 100)).cast("int").alias("need"),
-        F.sum("n").alias("size"))
-    entries = owned.select("key", "g", "b", "component").join(needs, ["g", "b"])
-    # Dealt by token once: the matrix, its open tokens and their pairs all need just that.
-    matrix = (shared.select("token", "key").join(entries, "key").drop("key").repartition("token")
-              .groupBy("token", "g", "b", "need", "size").agg(F.min("component").alias("low"),
-                                                      F.max("component").alias("high")))
-    own = Window.partitionBy("token")
-    rows = (matrix.withColumn("least", F.min("low").over(own)).withColumn("most", F.max("high").over(own))
-            .withColumn("blocks", F.count("*").over(own))
-            .where("least <> most and blocks > 1").drop("least", "most", "blocks"))
-    left, right = (rows.select(F.col("token").alias("token" + s), *[
-        F.col(c).alias(c + s) for c in ("g", "b", "low", "high", "need", "size")]) for s in ("1", "2"))
-    # The smaller block is the one that travels to the other.
-    pairs = (left.join(right, F.col("token1") == F.col("token2"))
-             .where("struct(size1, g1, b1) < struct(size2, g2, b2)"
-                    " and (low1 <> high1 or low2 <> high2 or low1 <> low2)")
-             .groupBy("g1", "b1", "g2", "b2").agg(
-                 F.count("*").alias("found"), F.max(F.greatest("need1", "need2")).alias("need"))
-             .where("found >= need").select("g1", "b1", "g2", "b2"))
-    pairs = stored(pairs, "shingle-pairs")
-    needed = pairs.select(F.col("g1").alias("g"), F.col("b1").alias("b")).union(
-        pairs.select("g2", "b2")).distinct()
-    filled = (owned.join(needed, ["g", "b"], "left_semi").join(texts, "id").groupBy("g", "b")
-              .agg(F.collect_list(F.struct("id", "component", "text")).alias("m"))
-              .select("g", "b", "m.id", "m.component", "m.text")
-              .mapInArrow(_block_sets(words), BLOCK))
-    filled = stored(filled, "shingle-blocks")
-    columns = ("ids", "components", "sizes", "tokens")
-    left, right = (filled.select(*[F.col(c).alias(c + s) for c in ("g", "b", *columns)])
-                   for s in ("1", "2"))
-    return (pairs.join(left, ["g1", "b1"]).join(right, ["g2", "b2"])
-            .select(*[c + "1" for c in columns], "g2", "b2", *[c + "2" for c in columns])
-            .mapInArrow(_cross_links(percent), LINKS))
+    large = owned.groupBy("component").agg(F.count("*").alias("members"))
+    entries = (shared.select("token", "key").join(owned.join(large, "component").withColumn(
+        "rank", F.struct("members", "component")), "key").repartition("token"))
+    cells = (entries.groupBy("token", "g", "b").agg(
+        F.max("rank").alias("top"), F.min("n").alias("least"), F.max("n").alias("most"))
+        .withColumnRenamed("token", "t"))
+    queries = entries.select("token", "key", "rank", "n")
+    fits = (F.col("top") > F.col("rank")) & (F.col("most") * 100 >= F.col("n") * percent) & (
+        F.col("least") * percent <= F.col("n") * 100)
+    least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) * MORE / 100))
+    pairs = stored(queries.join(cells, F.col("token") == F.col("t")).where(fits)
+                   .groupBy("key", "n", "g", "b").agg(F.count("*").alias("found"))
+                   .where(F.col("found") >= least).select("key", "g", "b"), "shingle-pairs")
+    asked = owned.select("key", "id", "component").join(pairs.select("key").distinct(), "key", "left_semi")
+    sets = stored(asked.join(texts, "id").select("key", "id", "component", "text").mapInArrow(
+        _query_sets(words), "key long, id long, component long, tokens binary"), "shingle-queries")
+    bound = stored(_dealt(pairs, sets, "key", "tokens").join(unions, ["g", "b"])
+                   .select("g", "b", "tokens", "queries")
+                   .mapInArrow(_bounded(percent), "key long, g long, b int"), "shingle-bound")
+    open_ = bound.select("g", "b").distinct()
+    members = (owned.join(open_, ["g", "b"], "left_semi").join(texts, "id").groupBy("g", "b")
+               .agg(F.collect_list(F.struct("id", "component", "text")).alias("members")))
+    return (_dealt(bound, sets, "id", "component", "tokens").join(members, ["g", "b"])
+            .select("members", "queries").mapInArrow(_opened(words, percent), LINKS))
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -402,14 +493,20 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     that link with nothing, null ids among them, all stay, and so do all rows
     that repeat a kept doc_id and text.
     """
-    named = docs.withColumn("_document", F.when(
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    document = free_name(docs, "_document")
+    named = docs.withColumn(document, F.when(
         F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
-    found = similar_texts(named.select(F.col("_document").alias("doc_id"), "text"), words, percent)
+    known = named.where("doc_id is not null").select(
+        F.col(document).alias("_document"), "doc_id", "text", F.xxhash64("text", "doc_id").alias("_other"))
+    found = similar_texts(known.select(F.col("_document").alias("doc_id"), "text"), words, percent)
     members = found.where("component_id is not null").select(
         F.col("doc_id").alias("_document"), "component_id").distinct()
-    ids = named.where("doc_id is not null").select("_document", "doc_id").distinct()
-    members = stored(members.join(ids, "_document"), "shingle-members")
+    # Where two documents have one hash, neither is dropped.
+    ids = known.groupBy("_document").agg(F.min("doc_id").alias("doc_id"), F.min("_other").alias("_low"),
+                                         F.max("_other").alias("_high")).where("_low = _high")
+    members = stored(members.join(ids.select("_document", "doc_id"), "_document"), "shingle-members")
     kept = members.groupBy("component_id").agg(
         F.min(F.struct("doc_id", "_document")).alias("_first")).select(F.col("_first._document"))
-    gone = members.select("_document").join(kept, "_document", "left_anti")
-    return named.join(gone, "_document", "left_anti").select(*docs.columns)
+    gone = members.select("_document").join(kept, "_document", "left_anti").withColumnRenamed("_document", "_gone")
+    return named.join(gone, named[document] == gone["_gone"], "left_anti").select(*columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
 from functools import reduce
 from pathlib import Path
@@ -158,3 +159,40 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str],
     if sum(b.num_rows for b in held):
         table = pa.Table.from_batches(held)
         yield table, grouped(table)
+
+
+def cell_counts(texts: DataFrame, hashes: Callable[[pa.Array], Iterator[np.ndarray]], bits: int) -> np.ndarray:
+    """How many of the 64-bit hashes of a column's texts fall into each of ``2**bits`` cells.
+
+    ``hashes`` gives those of a batch. Each task sends one table of counts, whatever
+    its rows; the sums are made part by part, one row after the other. The result
+    has one size for every input.
+    """
+    cells, parts = 1 << bits, 64
+    width = cells // parts
+
+    def rows(found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int32()),
+                                           pa.array([zlib.compress(c.tobytes(), 1) for _, c in found], pa.binary())],
+                                          ["part", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(cells, np.int32)
+        for batch in batches:
+            for some in hashes(batch.column(0)):
+                np.add.at(seen, (some >> np.uint64(64 - bits)).astype(np.int64), 1)
+        blocks = [(i, seen[i * width:(i + 1) * width]) for i in range(parts)]
+        yield rows([(i, c) for i, c in blocks if c.any()])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums.setdefault(part, np.zeros(width, np.int64))
+                sums[part] += np.frombuffer(zlib.decompress(counts.as_py()), np.int32)
+        yield rows(list(sums.items()))
+
+    layout, total = "part int, counts binary", np.zeros(cells, np.int64)
+    for row in texts.mapInArrow(count, layout).repartition(parts, "part").mapInArrow(add, layout).collect():
+        total[row.part * width:(row.part + 1) * width] = np.frombuffer(zlib.decompress(row.counts), np.int64)
+    return total

@@ -17,14 +17,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import stored, whole_groups
+from tierflow.llm.common import cell_counts, stored, whole_groups
 
 LENGTH = 200
 GRAM = 32
 CHUNK = 1 << 20  # bytes of text looked at together
 PLACE = np.uint64((1 << 22) - 1)  # bits of an ordering key that hold the place in a chunk
 LIMIT = 8192  # pieces of one key that are sorted together
-PIECES = ("key long, digest long, doc_id {id}, row long, begin long, end long, anchor int, times int")
+CELL_BITS = 20  # of an anchor's hash: its cell in the table of counts
+PIECES = ("key long, digest long, doc_id {id}, row long, begin long, end long, anchor int, times int, crowded boolean")
 SPANS = "doc_id {id}, row long, begin long, end long"
 BYTES = "doc_id {id}, row long, key long, begin long, anchor int, bytes binary"
 KEPT = "doc_id {id}, n_bytes long, spans array<struct<begin: long, end: long>>, kept binary"
@@ -119,18 +120,33 @@ def _merged(text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return text[at], begin[at], reach[last] - base[last]
 
 
-def _scan(length: int, names: list[str]):
+def _text_chunks(text: pa.Array, length: int) -> Iterator[tuple[np.ndarray, tuple]]:
+    """The bytes of each chunk of a column, with the texts, begins and ends there."""
+    offsets = np.frombuffer(text.buffers()[1], np.int32)[text.offset:text.offset + len(text) + 1] if len(text) else [0]
+    content = text.buffers()[2]
+    data = np.frombuffer(content, np.uint8) if content else np.zeros(0, np.uint8)
+    for texts, begins, ends in _chunks(offsets, length):
+        yield data[begins[0]:ends[-1]], (offsets, texts, begins, ends)
+
+
+def crowded_cells(texts: DataFrame, length: int, limit: int) -> np.ndarray:
+    """Which cells of anchors have so many pieces that one anchor may have more than ``limit``.
+
+    Counts are of all pieces; a table of 2**CELL_BITS flags results for every input.
+    """
+    def anchors(text: pa.Array) -> Iterator[np.ndarray]:
+        for part, (_, _, begins, ends) in _text_chunks(text, length):
+            yield cut_pieces(part, np.array(begins) - begins[0], np.array(ends) - begins[0], length)[0].view(np.uint64)
+
+    counts = cell_counts(texts.select("text"), anchors, CELL_BITS)
+    return counts > max(limit, 4 * int(counts.mean()))
+
+
+def _scan(length: int, cells, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = batch.column(2)
-            if not len(text):
-                continue
-            offsets = np.frombuffer(text.buffers()[1], np.int32)[text.offset:text.offset + len(text) + 1]
-            content = text.buffers()[2]
-            data = np.frombuffer(content, np.uint8) if content else np.zeros(0, np.uint8)
             ids, rows = batch.column(0), batch.column(1).to_numpy()
-            for texts, begins, ends in _chunks(offsets, length):
-                part = data[begins[0]:ends[-1]]
+            for part, (offsets, texts, begins, ends) in _text_chunks(batch.column(2), length):
                 first, last = np.array(begins) - begins[0], np.array(ends) - begins[0]
                 key, begin, end, anchor = cut_pieces(part, first, last, length)
                 if not len(key):
@@ -160,7 +176,9 @@ def _scan(length: int, names: list[str]):
                     pa.array(np.concatenate([(begin + shift)[one], done[1]])),
                     pa.array(np.concatenate([(end + shift)[one], done[2]])),
                     pa.array(np.concatenate([(anchor - begin)[one], zero]).astype(np.int32)),
-                    pa.array(np.concatenate([times, zero]).astype(np.int32))], names)
+                    pa.array(np.concatenate([times, zero]).astype(np.int32)),
+                    pa.array(np.concatenate([cells.value[(key[one].view(np.uint64) >> np.uint64(64 - CELL_BITS))
+                                                         .astype(np.int64)], zero > 0]))], names)
 
     return run
 
@@ -247,15 +265,19 @@ def _sorted_suffixes(length: int, names: list[str]):
 
 
 def _settle(pieces: DataFrame, label: str) -> DataFrame:
-    """Pieces that share their key, with ``n`` equal ones, ``nth`` among these, ``mixed`` if the key has others.
+    """Pieces that share their key, with ``n`` equal ones, ``nth`` among these, ``mixed`` if the key may have others.
 
-    One shuffle by key serves all three; pieces alone with their key go.
+    One shuffle by key serves all three; pieces alone with their key go. Crowded keys
+    are dealt out by the pieces' digests as well, so that equal pieces alone meet, of
+    which a slice of texts sends one; they count as mixed, which is safe.
     """
-    same, everything = Window.partitionBy("key", "digest"), Window.partitionBy("key")
-    counted = (pieces.repartition("key")
+    part = ["key", "spread"]
+    same, everything = Window.partitionBy(*part, "digest"), Window.partitionBy(*part)
+    others = F.min("digest").over(everything) != F.max("digest").over(everything)
+    counted = (pieces.withColumn("spread", F.when(F.col("crowded"), F.col("digest")).otherwise(0)).repartition(*part)
                .withColumn("n", F.sum("times").over(same))
                .withColumn("nth", F.row_number().over(same.orderBy("doc_id", "row", "begin")))
-               .withColumn("mixed", F.min("digest").over(everything) != F.max("digest").over(everything)))
+               .withColumn("mixed", F.col("crowded") | others).drop("spread"))
     return stored(counted.where("n >= 2 or mixed or times = 0"), label)
 
 
@@ -320,7 +342,8 @@ def _halves(pieces: DataFrame, length: int) -> DataFrame:
             .withColumn("bytes", F.substring("bytes", F.col("start") + 1, F.col("last") - F.col("start") + length))
             .withColumn("begin", F.col("begin") + F.col("start")).withColumn("anchor", F.col("anchor") - F.col("start"))
             .withColumn("end", F.col("begin") + F.octet_length("bytes"))
-            .withColumn("digest", F.xxhash64("bytes", "anchor")).withColumn("times", F.lit(1)).drop("start", "last"))
+            .withColumn("digest", F.xxhash64("bytes", "anchor")).withColumn("times", F.lit(1))
+            .withColumn("crowded", F.lit(True)).drop("start", "last"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -> DataFrame:
@@ -333,8 +356,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) ->
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", "text").where("text is not null").withColumn("row", _row())
     scanned = PIECES.format(id=kind)
+    cells = docs.sparkSession.sparkContext.broadcast(crowded_cells(texts, length, limit))
     pieces = (texts.select("doc_id", "row", "text")
-              .mapInArrow(_scan(length, [c.split()[0] for c in scanned.split(", ")]), scanned))
+              .mapInArrow(_scan(length, cells, [c.split()[0] for c in scanned.split(", ")]), scanned))
     counted = _settle(pieces, "repeats-counted")
     spans = [counted.where("n >= 2 or times = 0").select("doc_id", "row", "begin", "end")]
     now = stored(_fetched(texts, counted.where("mixed and nth = 1 and times > 0"), BYTES.format(id=kind))

@@ -30,7 +30,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import components, free_name, stored, worker_cache
+from tierflow.llm.common import cell_counts, components, free_name, stored, worker_cache
+from tierflow.session import settings
 from tierflow.llm.word_bpe import Numbers, slices
 
 WORDS = 5
@@ -41,10 +42,14 @@ FILTER_BITS = 1 << 23
 # Prefix tokens of a set beyond those that make one shared token certain, per cent of its size.
 MORE = 2
 CELL_BITS = 22  # of a token's hash: its cell in the table of counts
-CELL_PARTS = 64  # rows of that table
 UNION_BITS = 16  # of a block's bitmap for each token of its union
 QUERIES = 256  # queries to a block that are looked at together
 
+# Joins are the same at every size, so none is a broadcast because a table happens to be small;
+# texts, and blocks of texts, go to a task's Python in small batches.
+PLANNING = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+BLOCKS_AT_ONCE = {"spark.sql.execution.arrow.maxRecordsPerBatch": "32"}
+
 KEEP = 100_000  # distinct words a worker remembers
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -111,47 +116,15 @@ def prefix_sizes(n: int, percent: int) -> tuple[int, int]:
     return min(n, n - overlap + max(1, MORE * n // 100)), max(1, MORE * overlap // 100)
 
 
-def _tokens(sets: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-
-
 def token_levels(docs: DataFrame, words: int = WORDS) -> np.ndarray:
-    """How many rows have a token of each cell, as four times the binary logarithm.
-
-    Each task sends one table of counts, whatever its rows; the sum is made part by
-    part, one row after the other. Its 4 MB are the same for every input.
-    """
-    cells = 1 << CELL_BITS
-    width = cells // CELL_PARTS
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed, seen = shingler(words), np.zeros(cells, np.uint32)
-        for batch in batches:
-            sizes = pc.binary_length(batch.column(0)).fill_null(0).to_numpy(zero_copy_only=False)
-            for begin, end in slices(sizes):
-                tokens = _tokens(hashed.sets(batch.column(0).slice(begin, end - begin).to_pylist()))
-                seen += np.bincount((tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=cells).astype(np.uint32)
-        parts = [(i, seen[i * width:(i + 1) * width]) for i in range(CELL_PARTS)]
-        yield _count_batch([(i, c) for i, c in parts if c.any()])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                sums.setdefault(part, np.zeros(width, np.int64))
-                sums[part] += np.frombuffer(counts.as_py(), np.uint32)
-        yield _count_batch([(p, np.ceil(4 * np.log2(c + 1)).astype(np.uint8)) for p, c in sums.items()])
-
-    layout, levels = "part int, counts binary", np.zeros(cells, np.uint8)
-    for row in (docs.select("text").mapInArrow(count, layout).repartition(CELL_PARTS, "part")
-                .mapInArrow(add, layout).collect()):
-        levels[row.part * width:(row.part + 1) * width] = np.frombuffer(row.counts, np.uint8)
-    return levels
-
+    """How many rows have a token of each cell, as four times the binary logarithm: 4 MB for every input."""
+    def tokens(texts: pa.Array) -> Iterator[np.ndarray]:
+        hashed = shingler(words)
+        for begin, end in slices(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)):
+            yield from hashed.sets(texts.slice(begin, end - begin).to_pylist())
 
-def _count_batch(parts: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()),
-                                       pa.array([c.tobytes() for _, c in parts], pa.binary())], ["part", "counts"])
+    counts = cell_counts(docs.select("text"), tokens, CELL_BITS)
+    return np.ceil(4 * np.log2(counts + 1)).astype(np.uint8)
 
 
 def ordered(tokens: np.ndarray, levels: np.ndarray) -> np.ndarray:
@@ -348,6 +321,16 @@ def similar_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     doc_id (component null). Rows that share a doc_id share its component.
     Other columns are ignored; an empty table gives an empty one.
     """
+    with settings(docs.sparkSession, PLANNING):
+        sets, own = _decided(docs, words, percent)
+    return (sets.join(own.hint("merge"), ["s1", "s2", "n_shingles"], "left")
+            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(
+                "_component", "doc_id")).alias("component_id")))
+
+
+def _decided(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(sets of all rows, classes of equal sets with their component), both written."""
+    spark = docs.sparkSession
     sets = stored(shingle_sets(docs, token_levels(docs, words), words, percent), "shingle-sets")
     with_text = sets.where("n_shingles > 0 and doc_id is not null")
     classes = stored(with_text.groupBy("s1", "s2", "n_shingles").agg(
@@ -359,19 +342,18 @@ def similar_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     shared = stored(_shared(_enough(shared, sizes, percent)).distinct(), "shingle-postings")
     named = classes.select(F.col("s1").alias("key"), "id", F.col("n_shingles").alias("n"), "bytes")
     blocks = stored(_blocks(shared, named), "shingle-groups")
-    texts = stored(_texts_of(docs.select(F.col("doc_id").alias("id"), "text"), blocks.select("id")),
+    texts = stored(_with_texts(blocks.select("id", "g", "b"), docs.select(F.col("doc_id").alias("id"), "text")),
                    "shingle-texts")
-    inside = stored(_links_inside(blocks, texts, words, percent), "shingle-inside")
+    with settings(spark, BLOCKS_AT_ONCE):
+        inside = stored(_links_inside(blocks, texts, words, percent), "shingle-inside")
     first = inside.where("a is not null").select("a", "b")
     unions = inside.where("g is not null").select("g", F.col("block").alias("b"), "tokens")
     parts = stored(components(first), "shingle-parts")
-    more = stored(_links_across(shared, blocks, unions, texts, parts, words, percent), "shingle-links")
+    with settings(spark, BLOCKS_AT_ONCE):
+        more = stored(_links_across(shared, blocks, unions, texts, parts, words, percent), "shingle-links")
     final = components(first.union(more)).withColumnRenamed("node", "id")
-    own = classes.join(final, "id", "left").select(
-        "s1", "s2", "n_shingles", F.coalesce("component", "id").alias("_component"))
-    return (sets.join(own, ["s1", "s2", "n_shingles"], "left")
-            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(
-                "_component", "doc_id")).alias("component_id")))
+    return sets, stored(classes.join(final, "id", "left").select(
+        "s1", "s2", "n_shingles", F.coalesce("component", "id").alias("_component")), "shingle-decided")
 
 
 def _shared(postings: DataFrame) -> DataFrame:
@@ -414,28 +396,30 @@ def _blocks(shared: DataFrame, named: DataFrame) -> DataFrame:
         "key", "id", "n", "g", "leader", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("b"))
 
 
-def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows (id, text) of the given ids.
+def _with_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rows`` with the text of their id.
 
     A table of FILTER_BITS bits of hashed ids, at most FILTER_BITS / 64 rows
     whatever the input, is broadcast and lets most other texts go before the
     shuffle of the exact join.
     """
     bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    bits = ids.distinct().select(bit.alias("bit")).groupBy((F.col("bit") / 64).cast("int").alias("word")).agg(
+    bits = rows.select(bit.alias("bit")).distinct().groupBy((F.col("bit") / 64).cast("int").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
-    near = (texts.withColumn("bit", bit).withColumn("word", (F.col("bit") / 64).cast("int"))
+    near = (texts.select("id", "text").withColumn("bit", bit).withColumn("word", (F.col("bit") / 64).cast("int"))
             .join(F.broadcast(bits), "word")
             .where(F.expr("shiftrightunsigned(bits, cast(bit % 64 as int)) & 1L = 1L"))
             .select("id", "text"))
-    return near.join(ids, "id", "left_semi")
+    return rows.join(near, "id")
 
 
 def _links_inside(blocks: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links that connect what is connected inside each block together with its leader, and its union."""
-    members = blocks.select("id", "g", "b").union(
-        blocks.select(F.col("leader").alias("id"), "g", "b")).distinct()
-    filled = members.join(texts, "id").groupBy("g", "b").agg(
+    own = blocks.select(F.col("id").alias("leader"), "g", F.col("b").alias("home"))
+    guests = (blocks.select("leader", "g", "b").distinct().join(own, ["leader", "g"], "left")
+              .where("home is null or home <> b").select(F.col("leader").alias("id"), "g", "b"))
+    members = texts.select("id", "g", "b", "text").unionByName(_with_texts(guests, texts))
+    filled = members.groupBy("g", "b").agg(
         F.collect_list(F.struct("id", "text")).alias("members"))
     return filled.select("g", "b", F.col("members.id").alias("ids"), F.col("members.text").alias("texts")).mapInArrow(
         _inside(words, percent), FOUND)
@@ -473,14 +457,14 @@ def _links_across(shared: DataFrame, blocks: DataFrame, unions: DataFrame, texts
                    .groupBy("key", "n", "g", "b").agg(F.count("*").alias("found"))
                    .where(F.col("found") >= least).select("key", "g", "b"), "shingle-pairs")
     asked = owned.select("key", "id", "component").join(pairs.select("key").distinct(), "key", "left_semi")
-    sets = stored(asked.join(texts, "id").select("key", "id", "component", "text").mapInArrow(
+    sets = stored(_with_texts(asked, texts).select("key", "id", "component", "text").mapInArrow(
         _query_sets(words), "key long, id long, component long, tokens binary"), "shingle-queries")
     bound = stored(_dealt(pairs, sets, "key", "tokens").join(unions, ["g", "b"])
                    .select("g", "b", "tokens", "queries")
                    .mapInArrow(_bounded(percent), "key long, g long, b int"), "shingle-bound")
     open_ = bound.select("g", "b").distinct()
-    members = (owned.join(open_, ["g", "b"], "left_semi").join(texts, "id").groupBy("g", "b")
-               .agg(F.collect_list(F.struct("id", "component", "text")).alias("members")))
+    members = (_with_texts(owned.join(open_, ["g", "b"], "left_semi").select("id", "g", "b", "component"), texts)
+               .groupBy("g", "b").agg(F.collect_list(F.struct("id", "component", "text")).alias("members")))
     return (_dealt(bound, sets, "id", "component", "tokens").join(members, ["g", "b"])
             .select("members", "queries").mapInArrow(_opened(words, percent), LINKS))
 

@@ -20,7 +20,7 @@ from tierflow.llm.common import stored, whole_groups
 from tierflow.session import settings
 
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
-STRIDE = 8
+STRIDE = 10
 CLIMBERS = 65_536  # leaves that climb through one copy of a node row
 TOP = -1  # the tree of the subroots
 ROW_BITS = 33  # of monotonically increasing ids that count rows of a partition

@@ -12,26 +12,37 @@ from tierflow.llm.registry import tokenizer_path
 from tierflow.session import prepare
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with the settings of a stage: texts go to Python workers in small batches,
+    as four stages' leftovers share an executor's memory."""
+    prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without letters or without a main language go.
 
     The model is learned from the labelled documents that are not held out.
     """
+    ready(spark)
     return language.keep_labelled(docs, language.fit(docs))
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat an earlier run of lines; none goes."""
+    ready(spark)
     return line_dedup.renewed_documents(docs)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of similar ones."""
+    ready(spark)
     return shingle_join.one_of_each(docs)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all token pieces of the kept documents in training sequences."""
+    ready(spark)
     return packing.packed_documents(docs, tokenizer_path())
 
 

@@ -4,6 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tierflow.operators import quality
 from tierflow.operators.ranking import Ordering, first_per_key, global_ntile, stored
 
 
@@ -66,3 +67,10 @@ def test_first_per_key(frame):
     df = frame("k string, v int", ("a", 3), ("a", 1), ("a", 2), ("b", 9))
     got = {(r.k, r.v) for r in first_per_key(df, ["k"], [F.asc("v")], 2).collect()}
     assert got == {("a", 1), ("a", 2), ("b", 9)}
+
+
+def test_helper_columns_clash_with_no_column(frame):
+    rows = frame("k string, _n int, _N2 int", ("a", 5, 1), ("a", 3, 2), ("b", 9, 3))
+    assert sorted(map(tuple, quality.dedup(rows, ["k"], ["_n"]).collect())) == [("a", 3, 2), ("b", 9, 3)]
+    first = first_per_key(rows, ["k"], [F.col("_n")], 1)
+    assert first.columns == rows.columns and sorted(map(tuple, first.collect())) == [("a", 3, 2), ("b", 9, 3)]

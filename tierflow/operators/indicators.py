@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierflow.functions.numbers import format_value
-from tierflow.operators.ranking import first_per_key
+from tierflow.operators.ranking import first_per_key, stored
 from tierflow.schemas import INDICATOR, PAYLOAD_RECORDS
 
 # Indicator key -> (code, name).
@@ -139,36 +139,41 @@ def load_summary(rows: DataFrame, registry: Registry = INDICATORS) -> DataFrame:
             .select("key", "indicator_code", F.coalesce("n", F.lit(0)).alias("rows_loaded")))
 
 
-def _newest_year(df: DataFrame) -> Column:
-    return df.agg(F.max("year")).scalar()
-
-
 def _first_of(condition: Column) -> Column:
     """The smallest (code, value) among the rows of a country that qualify."""
     return F.min(F.when(condition, F.struct("country_code", "value")))
 
 
+def _yearly(df: DataFrame) -> tuple[DataFrame, Column]:
+    """One (code, value) per country and year, and the newest year of all of them.
+
+    The rows are written, so that the source is read once for both; repeats combine map-side.
+    """
+    rows = stored(df.groupBy("country_name", "year").agg(_first_of(F.lit(True)).alias("row")), "yearly")
+    return rows, rows.agg(F.max("year")).scalar()
+
+
 def latest_snapshot(df: DataFrame) -> DataFrame:
     """One row per country for the newest year of the whole slice; a country
-    without that year is absent. Repeats combine map-side."""
-    return (df.filter(F.col("year") == _newest_year(df)).groupBy("country_name", "year")
-            .agg(_first_of(F.lit(True)).alias("row"))
+    without that year is absent."""
+    rows, newest = _yearly(df)
+    return (rows.filter(F.col("year") == newest)
             .select("country_name", "row.country_code", "year", "row.value"))
 
 
 def yoy_snapshot(df: DataFrame, style: str = "billions") -> DataFrame:
     """Snapshot compared with exactly the year before, ready to display.
 
-    Both years come from one scan and one shuffle: the newest and the previous
-    value of a country are two conditional aggregates of the same group.
+    Both years come from one scan of the source: the newest and the previous
+    value of a country are two conditional aggregates of its yearly rows.
     """
-    newest = _newest_year(df)
-    both = (df.filter(F.col("country_name").isNotNull())
-            .withColumn("_age", newest - F.col("year")).filter(F.col("_age").isin(0, 1))
+    rows, newest = _yearly(df)
+    age = newest - F.col("year")
+    both = (rows.filter(F.col("country_name").isNotNull() & age.isin(0, 1))
             .groupBy("country_name")
-            .agg(F.max(F.when(F.col("_age") == 0, F.col("year"))).alias("year"),
-                 _first_of(F.col("_age") == 0).alias("now"),
-                 _first_of(F.col("_age") == 1).alias("before"))
+            .agg(F.max(F.when(age == 0, F.col("year"))).alias("year"),
+                 F.max(F.when(age == 0, F.col("row"))).alias("now"),
+                 F.max(F.when(age == 1, F.col("row"))).alias("before"))
             .filter(F.col("now").isNotNull()))
     value, previous = F.col("now.value"), F.col("before.value")
     delta = value - previous

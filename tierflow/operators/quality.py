@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierflow.functions.names import free_name
 from tierflow.schemas import CORRUPT
 
 
@@ -32,4 +33,5 @@ def dedup(df: DataFrame, keys: list[str], first_by: list[str] | None = None) ->
     if not first_by:
         return df.dropDuplicates(keys)
     window = Window.partitionBy(*keys).orderBy(*first_by)
-    return df.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") == 1).drop("_n")
+    n = free_name(df, "_n")
+    return df.withColumn(n, F.row_number().over(window)).filter(F.col(n) == 1).drop(n)

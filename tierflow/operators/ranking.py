@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from tierflow.functions.names import free_name
 from tierflow.session import scratch_path
 
 
@@ -193,4 +194,5 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list[Column], n: int
     """The first ``n`` rows per key. The limit is applied inside each task
     before the shuffle, so a hot key costs ``n`` rows per task."""
     window = Window.partitionBy(*keys).orderBy(*order_by)
-    return df.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= n).drop("_n")
+    place = free_name(df, "_n")
+    return df.withColumn(place, F.row_number().over(window)).filter(F.col(place) <= n).drop(place)

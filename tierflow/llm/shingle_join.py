@@ -444,8 +444,13 @@ def _links_across(shared: DataFrame, blocks: DataFrame, unions: DataFrame, texts
         "key", "id", "g", "b", F.coalesce("component", "id").alias("component"), "n")
     owned = stored(owned, "shingle-owned")
     large = owned.groupBy("component").agg(F.count("*").alias("members"))
-    entries = (shared.select("token", "key").join(owned.join(large, "component").withColumn(
-        "rank", F.struct("members", "component")), "key").repartition("token"))
+    # Tokens of one component need no search; they are most of them.
+    parts_of = shared.select("token", "key").join(owned.select("key", "component"), "key")
+    between = parts_of.groupBy("token").agg(F.min("component").alias("one"), F.max("component").alias("other")).where(
+        "one <> other").select("token")
+    ranks = owned.join(large, "component").select("key", "g", "b", "n", F.struct("members", "component").alias("rank"))
+    entries = stored(shared.select("token", "key").join(between, "token", "left_semi").join(ranks, "key")
+                     .repartition("token"), "shingle-matrix")
     cells = (entries.groupBy("token", "g", "b").agg(
         F.max("rank").alias("top"), F.min("n").alias("least"), F.max("n").alias("most"))
         .withColumnRenamed("token", "t"))

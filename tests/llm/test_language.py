@@ -78,3 +78,50 @@ def test_held_out_rows_and_null_labels_teach_nothing(frame):
     held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2]
     rows = [(i, "hidden words", "xx") for i in held] + [(1000, "no label", None)]
     assert language.fit(frame("doc_id long, text string, lang string", *rows)) == []
+
+
+def test_numbers_that_look_like_word_characters_are_no_letters(spark, frame):
+    learned = triples(spark, frame)
+    rows = [(1, "½ ²"), (2, "①"), (3, "Ⅷ 12 ٣"), (4, "x² the cat")]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.label_languages(
+        frame("doc_id long, text string", *rows), learned).collect()}
+    assert got[1] == got[2] == got[3] == ("und", 0.0) and got[4][0] == "en"
+
+
+def made_language(seed):
+    """Words over letters of its own choice, mostly."""
+    rng = np.random.default_rng(seed)
+    letters = rng.permutation(list("abcdefghijklmnopqrstuvwxyz"))[:9]
+    words = ["".join(rng.choice(letters, int(rng.integers(3, 8)))) for _ in range(60)]
+    return lambda n: " ".join(rng.choice(words, n))
+
+
+def test_rare_language_among_many_rows_is_learned(frame, monkeypatch):
+    monkeypatch.setattr(language.fit, "__defaults__", (30,))
+    common, rare = made_language(1), made_language(2)
+    rows = [(i, common(20), "aa") for i in range(3000)] + [(5000 + i, rare(20), "bb") for i in range(4)]
+    table = frame("doc_id long, text string, lang string", *rows)
+    learned = language.fit(table)
+    assert set(learned.column("lang").to_pylist()) == {"aa", "bb"}
+    fresh = frame("doc_id long, text string", *[(i, rare(20)) for i in range(20)])
+    assert {r.lang_pred for r in language.label_languages(fresh, learned).collect()} == {"bb"}
+
+
+def test_three_hundred_languages(frame):
+    made = {f"l{i:03d}": made_language(100 + i) for i in range(300)}
+    rows = [(1000 * j + i, text(40), k) for j, (k, text) in enumerate(made.items()) for i in range(4)]
+    learned = language.fit(frame("doc_id long, text string, lang string", *rows))
+    assert len(set(learned.column("lang").to_pylist())) == 300
+    fresh = [(k, text(40)) for k, text in made.items()]
+    got = {r.doc_id: r.lang_pred for r in language.label_languages(
+        frame("doc_id string, text string", *fresh), learned).collect()}
+    assert sum(got[k] == k for k in made) >= 290
+
+
+def test_sparse_counts_equal_plain_ones():
+    rng = np.random.default_rng(6)
+    keys, langs, n = rng.integers(0, 50, 400).astype(np.uint64), rng.integers(0, 7, 400), rng.integers(1, 9, 400)
+    counts, out = language.Counts(keys, langs, n), np.zeros(7)
+    for key in range(52):
+        plain = np.bincount(langs[keys == key], n[keys == key], 7)
+        assert counts.of(key, out).tolist() == plain.tolist()

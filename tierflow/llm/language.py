@@ -10,7 +10,6 @@ the letters the score.
 from __future__ import annotations
 
 import bisect
-import re
 import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -18,16 +17,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import worker_cache
 from tierflow.llm.word_bpe import Numbers, slices
 
-# The letter model is fitted on at most about this many labelled rows, chosen by a hash of doc_id.
-FIT_ROWS = 12_000
-FIT_LANGUAGES = 200  # languages at most, the most frequent ones
-FIT_GRAMS = 400_000  # letter triples over all languages, the most frequent ones
+# The letter model is fitted on about this many labelled rows of each language at most, chosen by a
+# hash of the row: the only bound of the fit. All languages and all their letter triples are learned.
+FIT_ROWS = 3_000
 SWITCH = 12.0  # what a change of language costs, as a difference of log probabilities
 SMOOTH = 0.5
 SCRIPT_SHARE = 0.01  # of a language's letters, for a script to be one of its own
@@ -38,7 +37,7 @@ CELLS = 400_000  # texts x words of one best-path batch
 LEAST_SCORE = 0.5  # a text whose language has a smaller share of its letters is rejected
 
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
 # First code points of script ranges, and what begins there.
 RANGES = [(0x41, "latin"), (0x250, "other"), (0x370, "greek"), (0x400, "cyrillic"),
           (0x530, "armenian"), (0x590, "hebrew"), (0x600, "arabic"), (0x700, "other"),
@@ -79,61 +78,108 @@ def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(n, pa.int64())], ["lang", "gram", "n"])
 
 
+def _packed(letters: str) -> int:
+    """Up to three letters as one number."""
+    number = 0
+    for letter in letters:
+        number = number << 21 | ord(letter)
+    return number
+
+
+class Counts:
+    """How often each language has a key: languages and counts of a key lie next to each other."""
+
+    def __init__(self, keys: np.ndarray, languages: np.ndarray, n: np.ndarray):
+        order = np.lexsort([languages, keys])
+        keys, languages, n = keys[order], languages[order], n[order]
+        first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (languages[1:] != languages[:-1]))[:len(keys)])
+        self.n = np.add.reduceat(n, first) if len(first) else n
+        self.languages = languages[first].astype(np.int32)
+        keys = keys[first]
+        begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+        self.keys, self.begin = keys[begin], np.append(begin, len(keys))
+
+    def of(self, key: int, out: np.ndarray) -> np.ndarray:
+        """Counts by language in ``out``, whose length is the number of languages."""
+        out[:] = 0
+        at = int(np.searchsorted(self.keys, np.uint64(key)))
+        if at < len(self.keys) and self.keys[at] == key:
+            part = slice(self.begin[at], self.begin[at + 1])
+            out[self.languages[part]] = self.n[part]
+        return out
+
+
 class LetterModel:
-    """Log probabilities of letters after their two predecessors, for every language at once."""
-
-    def __init__(self, rows: list[tuple[str, str, int]]):
-        totals = Counter()
-        for lang, _, n in rows:
-            totals[lang] += n
-        self.languages = [k for k, _ in sorted(totals.items(), key=lambda x: (-x[1], x[0]))]
-        at = {k: i for i, k in enumerate(self.languages)}
-        zero = np.zeros(len(at))
-        self.three, self.two, self.one = {}, {}, {}
-        self.after_two, self.after_one, self.total = {}, {}, zero.copy()
+    """Log probabilities of letters after their two predecessors, for every language at once.
+
+    Counts are sparse, so the model's size is that of what was learned, not that times the languages.
+    """
+
+    def __init__(self, rows: list[tuple[str, str, int]] | pa.Table):
+        if isinstance(rows, list):
+            lang, gram, n = zip(*rows) if rows else ((), (), ())
+            rows = pa.table({"lang": pa.array(lang, pa.string()), "gram": pa.array(gram, pa.string()),
+                             "n": pa.array(n, pa.int64())})
+        coded = rows.column("lang").combine_chunks().dictionary_encode()
+        names, n = coded.dictionary.to_pylist(), rows.column("n").to_numpy()
+        totals = np.bincount(coded.indices.to_numpy(), n, len(names))
+        rank = sorted(range(len(names)), key=lambda i: (-totals[i], names[i]))
+        self.languages = [names[i] for i in rank]
+        place = np.zeros(len(names), np.int64)
+        place[rank] = np.arange(len(names))
+        at = place[coded.indices.to_numpy()]
+        grams = np.array([_packed(g) for g in rows.column("gram").to_pylist()], np.uint64)
+        letter = np.uint64((1 << 21) - 1)
+        self.three = Counts(grams, at, n)
+        self.two = Counts(grams & np.uint64((1 << 42) - 1), at, n)
+        self.one = Counts(grams & letter, at, n)
+        self.after_two = Counts(grams >> np.uint64(21), at, n)
+        self.after_one = Counts(grams >> np.uint64(21) & letter, at, n)
+        self.total = np.bincount(at, n, len(names))
+        self.ends = len(self.one.keys) + 1
         scripts: dict[str, np.ndarray] = {}
-        for lang, gram, n in rows:
-            i = at[lang]
-            for counts, key in ((self.three, gram), (self.two, gram[1:]), (self.one, gram[2]),
-                                (self.after_two, gram[:2]), (self.after_one, gram[1])):
-                if key not in counts:
-                    counts[key] = zero.copy()
-                counts[key][i] += n
-            self.total[i] += n
-            if gram[2] != "\x03":
-                scripts.setdefault(script(gram[2]), zero.copy())[i] += n
-        self.zero = zero
-        letters = sum(scripts.values(), zero.copy())
+        for code, begin, end in zip(self.one.keys.tolist(), self.one.begin[:-1], self.one.begin[1:]):
+            if code != 3:  # the end of a word
+                own = scripts.setdefault(script(chr(code)), np.zeros(len(names)))
+                own[self.one.languages[begin:end]] += self.one.n[begin:end]
+        letters = sum(scripts.values(), np.zeros(len(names)))
         # Languages a script narrows to; a script of none tells nothing.
         self.narrow = {}
         for name, counts in scripts.items():
             own = counts >= SCRIPT_SHARE * np.maximum(letters, 1)
             if own.any():
                 self.narrow[name] = np.where(own, 0.0, -FORBIDDEN)
+        self.spare = [np.zeros(len(names)) for _ in range(5)]
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the triples' values that are kept."""
         self.numbers: dict[str, int] = {}
-        self.table: list[np.ndarray] = []
+        self.table = np.zeros((1024, len(self.languages)), np.float32)
 
     def log_probability(self, gram: str) -> np.ndarray:
-        zero = self.zero
-        first = (self.one.get(gram[2], zero) + SMOOTH) / (self.total + SMOOTH * (len(self.one) + 1))
-        second = (self.two.get(gram[1:], zero) + SMOOTH * first) / (
-            self.after_one.get(gram[1], zero) + SMOOTH)
-        third = (self.three.get(gram, zero) + SMOOTH * second) / (
-            self.after_two.get(gram[:2], zero) + SMOOTH)
+        three, two, one, after_two, after_one = self.spare
+        key = _packed(gram)
+        first = (self.one.of(key & (1 << 21) - 1, one) + SMOOTH) / (self.total + SMOOTH * self.ends)
+        second = (self.two.of(key & (1 << 42) - 1, two) + SMOOTH * first) / (
+            self.after_one.of(key >> 21 & (1 << 21) - 1, after_one) + SMOOTH)
+        third = (self.three.of(key, three) + SMOOTH * second) / (
+            self.after_two.of(key >> 21, after_two) + SMOOTH)
         return np.log(third)
 
     def number(self, gram: str) -> int:
         known = self.numbers.get(gram)
         if known is None:
-            known = self.numbers[gram] = len(self.table)
-            self.table.append(self.log_probability(gram))
+            known = self.numbers[gram] = len(self.numbers)
+            if known == len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.table[known] = self.log_probability(gram)
         return known
 
     def piece_scores(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Scores [piece, language] and the number of letters of each piece."""
-        if len(self.numbers) > KEEP:
-            self.numbers.clear()
-            self.table.clear()
+        if len(self.numbers) * len(self.languages) > 4 * KEEP:
+            self.forget()
         scores = np.zeros((len(pieces), len(self.languages)), np.float32)
         letters = np.zeros(len(pieces), np.int64)
         grams, owner = [], []
@@ -149,7 +195,7 @@ class LetterModel:
                 grams += found
                 owner += [i] * len(found)
         if grams:
-            values = np.array(self.table, np.float32)[grams]
+            values = self.table[grams]
             owners = np.array(owner)
             first = np.flatnonzero(np.append(True, owners[1:] != owners[:-1]))
             scores[owners[first]] += np.add.reduceat(values, first, axis=0)
@@ -198,7 +244,7 @@ class Labeller:
 
     def label(self, texts: list[str | None]) -> list[tuple[str, float, list[tuple[str, int]]]]:
         """(language, share of letters, runs of (language, words)) of each text."""
-        if len(self.index) > KEEP:
+        if len(self.index) * max(4, len(self.model.languages)) > 4 * KEEP:
             self.forget()
         at = []
         for text in texts:
@@ -237,33 +283,31 @@ class Labeller:
                 [(names[labels[f]], int(n)) for f, n in zip(first, runs)])
 
 
-def fit(docs: DataFrame, rows: int = FIT_ROWS) -> list[tuple[str, str, int]]:
-    """Letter triples (lang, gram, count) of about ``rows`` labelled rows that are not held out.
+def fit(docs: DataFrame, rows: int = FIT_ROWS) -> pa.Table | list:
+    """Letter triples (lang, gram, n) of labelled rows that are not held out.
 
-    Only text and non-null lang are learned from. At most FIT_GRAMS rows reach the driver.
+    Only text and non-null lang are learned from, of each language about ``rows`` rows
+    at most; a rarer language is learned from all its rows. What reaches the driver and
+    the tasks is the model: a row for each triple of each language. Without any labelled
+    row it is empty.
     """
-    labelled = docs.select("doc_id", "text", "lang").where(
+    labelled = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where(
         ~held_out() & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    total = labelled.count()
-    parts = 1_000_000
-    limit = parts if total <= rows else parts * rows // total
-    sample = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < limit)
-    grams = (sample.select(F.col("lang").cast("string"), "text")
-             .mapInArrow(_triples, "lang string, gram string, n long")
-             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    found = [tuple(r) for r in grams.orderBy(F.desc("n"), "lang", "gram").limit(FIT_GRAMS).collect()]
-    totals = Counter()
-    for lang, _, n in found:
-        totals[lang] += n
-    used = {k for k, _ in sorted(totals.items(), key=lambda x: (-x[1], x[0]))[:FIT_LANGUAGES]}
-    return [r for r in found if r[0] in used]
+    parts = 1_000_000_000
+    limits = labelled.groupBy("lang").agg(
+        F.least(F.lit(parts), F.ceil(F.lit(float(parts) * rows) / F.count(F.lit(1)))).alias("limit"))
+    sample = (labelled.join(F.broadcast(limits), "lang")  # a row for each language, as in the model
+              .where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)) < F.col("limit")))
+    learned = (sample.select("lang", "text").mapInArrow(_triples, "lang string, gram string, n long")
+               .groupBy("lang", "gram").agg(F.sum("n").alias("n")).orderBy("lang", "gram").toArrow())
+    return learned if len(learned) else []
 
 
 LABELLED = ("key {key}, lang_pred string, score double, "
             "spans array<struct<lang:string,words:long>>")
 
 
-def _labeller(name: str, triples: list[tuple[str, str, int]]) -> Labeller:
+def _labeller(name: str, triples: pa.Table | list[tuple[str, str, int]]) -> Labeller:
     """The worker's labeller of a model."""
     return worker_cache(("language", name), lambda: Labeller(LetterModel(triples)))
 
@@ -272,7 +316,7 @@ def _text_slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
     yield from slices(pc.utf8_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
 
 
-def label_languages(docs: DataFrame, triples: list[tuple[str, str, int]], key: str = "doc_id",
+def label_languages(docs: DataFrame, triples: pa.Table | list[tuple[str, str, int]], key: str = "doc_id",
                     spans: bool = True) -> DataFrame:
     """(key, lang_pred, score, spans) of every row's whole text.
 
@@ -281,7 +325,7 @@ def label_languages(docs: DataFrame, triples: list[tuple[str, str, int]], key: s
     rows and null keys stay; other columns are ignored; there is no shuffle.
     """
     kind = docs.schema[key].dataType.simpleString()
-    model = docs.sparkSession.sparkContext.broadcast(triples)  # at most FIT_GRAMS rows
+    model = docs.sparkSession.sparkContext.broadcast(triples)  # of FIT_ROWS rows a language
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,14 +346,14 @@ def label_languages(docs: DataFrame, triples: list[tuple[str, str, int]], key: s
             .mapInArrow(run, LABELLED.format(key=kind)).withColumnRenamed("key", key))
 
 
-def keep_labelled(docs: DataFrame, triples: list[tuple[str, str, int]],
+def keep_labelled(docs: DataFrame, triples: pa.Table | list[tuple[str, str, int]],
                   least: float = LEAST_SCORE) -> DataFrame:
     """Rows of ``docs`` whose text has a language with at least ``least`` of its letters.
 
     Rejected are 'und' and texts of which no language has such a share. All
     columns stay; rows that repeat stay or go together.
     """
-    model = docs.sparkSession.sparkContext.broadcast(triples)  # at most FIT_GRAMS rows
+    model = docs.sparkSession.sparkContext.broadcast(triples)  # of FIT_ROWS rows a language
     name, at = uuid.uuid4().hex, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -122,3 +122,27 @@ def test_queries_on_the_test_table(spark):
     np.fill_diagonal(cosines, 0)
     expected = dict(zip(ids.tolist(), (cosines >= 0.9).sum(1).tolist()))
     assert {r.vec_id: r.n_links for r in linked} == expected
+
+
+def test_vectors_of_every_length_take_part(frame):
+    """Four vectors of two components among longer ones: all have a cosine of 1 with each other."""
+    rows = [(i, [1.0, float(i), 2.0]) for i in range(1, 8)]
+    rows += [(50, [1.0, 2.0]), (51, [2.0, 4.0]), (52, [1.0, 2.0]), (53, [1.0, 2.0]), (54, [7.0])]
+    table = frame("vec_id long, embedding array<double>", *rows)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors.linked_vectors(table).collect()}
+    assert [got[i] for i in (50, 51, 52, 53)] == [(3, 50)] * 4 and got[54] == (0, 54)
+    near = [(r.rank, r.vec_id, round(r.score, 12)) for r in neighbours.nearest(table).collect() if r.query_id == 50]
+    assert sorted(near) == [(1, 51, 1.0), (2, 52, 1.0), (3, 53, 1.0)]
+
+
+def test_audit_looks_at_queries_and_fails_a_poor_build(frame, monkeypatch):
+    rows = [(i, [1.0, 0.0]) for i in range(200)] + [(300, [0.0, 1.0]), (301, [0.0, 2.0])]
+    reps = near_vectors.vectors.classes(near_vectors.vectors.usable(
+        frame("vec_id long, embedding array<double>", *rows)), "test-classes")
+    none = frame("id long, n long", (0, 0), (300, 0), (301, 0))
+    half = frame("id long, n long", (300, 1), (301, 0))
+    assert near_vectors.audited_recall(reps, none, 0.9) == 0.0
+    assert near_vectors.audited_recall(reps, half, 0.9) == 0.5  # the large class alone has no links as a class
+    monkeypatch.setattr(near_vectors, "audited_recall", lambda *a: 0.5)
+    with pytest.raises(RuntimeError, match="recall"):
+        near_vectors.linked_vectors(frame("vec_id long, embedding array<double>", *rows[-5:]))

@@ -14,6 +14,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +37,7 @@ BEAM = 24
 EXPAND = 4  # beam nodes expanded in one step
 AUDIT_QUERIES = 256
 RECALL = 0.95
+LEAST_RECALL = 0.9
 AUDITS = 3
 
 NODES = "id long, near array<long>"
@@ -285,8 +288,8 @@ def links(reps: DataFrame, least: float, overlap: int) -> DataFrame:
 
 
 def audited_recall(reps: DataFrame, counts: DataFrame, least: float) -> float:
-    """Share of the links of a query sample, found by comparing it with all rows in
-    blocks, that the counts (id, n) have."""
+    """Mean share of a query's links that the counts (id, n) have, over a sample of queries
+    that have any; these are found by comparing the sample with all rows in blocks."""
     asked = reps.orderBy(F.xxhash64(F.lit(2), "id"), "id").limit(AUDIT_QUERIES).select(
         "id", "embedding").toArrow()
     sizes = [len(x) for x in asked.column("embedding").to_pylist()]
@@ -310,28 +313,41 @@ def audited_recall(reps: DataFrame, counts: DataFrame, least: float) -> float:
 
     truth = (reps.select("id", "copies", "embedding").mapInArrow(compare, "id long, n long")
              .groupBy("id").agg(F.sum("n").alias("real")))
-    row = truth.join(counts, "id", "left").agg(
-        F.sum("real"), F.sum(F.least("real", F.coalesce("n", F.lit(0))))).first()
-    return row[1] / row[0] if row[0] else 1.0
+    share = truth.join(counts, "id", "left").where("real > 0").agg(
+        F.avg(F.least("real", F.coalesce("n", F.lit(0))) / F.col("real"))).first()[0]
+    return 1.0 if share is None else share
+
+
+def _audited_links(reps: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Links and counts of the classes of one length; a build is used if its audit is passed.
+
+    Each further try has twice the overlap. If the last one's recall is below
+    LEAST_RECALL too, that is an error.
+    """
+    overlap = OVERLAP
+    for last in [False] * (AUDITS - 1) + [True]:
+        found = links(reps, least, overlap)
+        counts = stored(found.groupBy("id").agg(F.sum("n").alias("n")), "vector-counts")
+        recall = audited_recall(reps, counts, least)
+        if recall >= (LEAST_RECALL if last else RECALL):
+            return found, counts
+        overlap *= 2
+    raise RuntimeError(f"recall of links is {recall:.3f}")
 
 
 def linked_vectors(rows: DataFrame, least: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every distinct row of (vec_id long, embedding).
 
     Two vectors link at a cosine of ``least``; n_links counts other vectors, copies
-    included. Vectors that are null, empty, zero or not finite, or of another
-    length than most, link with nothing and are kept. Rows that repeat are one;
+    included. Vectors that are null, empty, zero or not finite link with nothing and
+    are kept; vectors link with those of their own length. Rows that repeat are one;
     null ids are left out. An empty table gives an empty one.
     """
     valid = vectors.usable(rows)
     reps = vectors.classes(valid, "vector-classes")
-    overlap = OVERLAP
-    for last in [False] * (AUDITS - 1) + [True]:
-        found = links(reps, least, overlap)
-        counts = stored(found.groupBy("id").agg(F.sum("n").alias("n")), "vector-counts")
-        if last or audited_recall(reps, counts, least) >= RECALL:
-            break
-        overlap *= 2
+    searched = [_audited_links(some, least) for some in vectors.by_length(reps)]
+    found = reduce(DataFrame.unionAll, [links_ for links_, _ in searched])
+    counts = reduce(DataFrame.unionAll, [counts_ for _, counts_ in searched])
     edges = found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b"))
     parts = components(edges.distinct()).withColumnRenamed("node", "id")
     known = reps.join(counts, "id", "left").join(parts, "id", "left").select(

@@ -11,6 +11,8 @@ block. Equal vectors are indexed once, with their smallest ids.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -100,30 +102,34 @@ def _search(pivots: np.ndarray, want: int):
     return run
 
 
+def _found(reps: DataFrame, asked: DataFrame, every: int, want: int) -> DataFrame:
+    """The nearest classes of one length in each block; queries of other lengths meet none."""
+    pivots = vectors.sample(reps, PIVOTS)
+    total = reps.count()
+    blocks = max(1, -(-total // BLOCK_ROWS))
+    chunks = max(1, -(-total // (every * QUERY_ROWS)))
+    indexed = reps.select("id", "embedding", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"),
+                          F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+    asking = asked.where(F.size("embedding") == pivots.shape[1]).select(
+        "query_id", "embedding", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int").alias("chunk"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
+    return (indexed.groupBy("block", "chunk").cogroup(asking.groupBy("block", "chunk"))
+            .applyInArrow(_search(pivots, want), FOUND))
+
+
 def nearest(rows: DataFrame, every: int = EVERY, want: int = NEAREST) -> DataFrame:
     """(query_id, rank, vec_id, score) of (vec_id long, embedding): the nearest of every query.
 
     Queries are the rows whose vec_id is divisible by ``every``; candidates all
-    others. Vectors that are null, empty, zero or not finite, or of another length
-    than most, take no part; neither do null ids. Rows that repeat id and vector
-    count once. Ties go to the smaller vec_id; with fewer candidates all are
+    others of its length. Vectors that are null, empty, zero or not finite take no
+    part; neither do null ids. Rows that repeat id and vector count once. Ties go to the smaller vec_id; with fewer candidates all are
     returned; an empty table gives an empty one. Other columns are ignored.
     """
     valid = vectors.usable(rows)
     reps = vectors.classes(valid, "vector-classes")
-    pivots = vectors.sample(reps, PIVOTS)
-    total = reps.count()
-    blocks = max(1, -(-total // BLOCK_ROWS))
     asked = (valid.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "h1", "h2"])
              .select(F.col("vec_id").alias("query_id"), "embedding"))
-    chunks = max(1, -(-total // (every * QUERY_ROWS)))
-    indexed = reps.select("id", "embedding", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"),
-                          F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
-    asking = asked.select(
-        "query_id", "embedding", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int").alias("chunk"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    found = (indexed.groupBy("block", "chunk").cogroup(asking.groupBy("block", "chunk"))
-             .applyInArrow(_search(pivots, want), FOUND))
+    found = reduce(DataFrame.unionAll, [_found(some, asked, every, want) for some in vectors.by_length(reps)])
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     found = stored(found.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= want + 1)
                    .drop("_n"), "neighbour-classes")

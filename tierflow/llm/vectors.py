@@ -36,16 +36,18 @@ def classes(rows: DataFrame, label: str) -> DataFrame:
 
 
 def sample(reps: DataFrame, most: int) -> np.ndarray:
-    """Unit vectors of at most ``most`` classes, chosen by a hash of the id, in its order.
-
-    Only vectors of the most frequent length in the sample count.
-    """
+    """Unit vectors of at most ``most`` classes of one length, chosen by a hash of the id, in its order."""
     chosen = reps.orderBy(F.xxhash64("id"), "id").limit(most).select("embedding").toArrow()
     rows = [np.array(x) for x in chosen.column(0).to_pylist()]
     if not rows:
         return np.zeros((0, 1))
-    size = np.bincount([len(x) for x in rows]).argmax()
-    return unit(np.stack([x for x in rows if len(x) == size]))
+    return unit(np.stack(rows))
+
+
+def by_length(reps: DataFrame) -> list[DataFrame]:
+    """Classes by the length of their vectors: vectors of other lengths have no cosine, so each is a problem of its own."""
+    lengths = sorted(r.length for r in reps.select(F.size("embedding").alias("length")).distinct().collect())
+    return [reps.where(F.size("embedding") == n) for n in lengths] if len(lengths) > 1 else [reps]
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, size: int) -> tuple[np.ndarray, np.ndarray]:

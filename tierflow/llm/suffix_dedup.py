@@ -437,10 +437,12 @@ def repeat_digests(docs: DataFrame) -> DataFrame:
 SQL = """WITH texts AS (
   SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, text NULLS FIRST) AS id, doc_id, hex(encode(coalesce(text, ''))) AS h
   FROM documents),
-starts AS (
-  SELECT id, s, count(*) OVER (PARTITION BY md5_number(substr(h, 2 * s + 1, 400))) AS n
-  FROM (SELECT id, h, unnest(range(0, greatest(0, length(h) // 2 - 199))) AS s FROM texts)),
-found AS (SELECT id, s, s - row_number() OVER (PARTITION BY id ORDER BY s) AS run FROM starts WHERE n > 1),
+starts AS (  -- a hash of the string from each place on
+  SELECT id, unnest(list_transform(range(greatest(0, length(h) // 2 - 199)),
+      lambda s: md5_number_lower(substr(h, 2 * s + 1, 400)))) AS m,
+    unnest(range(greatest(0, length(h) // 2 - 199))) AS s FROM texts),
+twice AS (SELECT m FROM starts GROUP BY m HAVING count(*) > 1),
+found AS (SELECT id, s, s - row_number() OVER (PARTITION BY id ORDER BY s) AS run FROM starts SEMI JOIN twice USING (m)),
 runs AS (SELECT id, min(s) AS b, max(s) + 200 AS e FROM found GROUP BY id, run),
 spans AS (  -- runs that overlap or touch are one
   SELECT id, min(b) AS b, max(e) AS e FROM (

@@ -444,23 +444,20 @@ def _links_across(shared: DataFrame, blocks: DataFrame, unions: DataFrame, texts
         "key", "id", "g", "b", F.coalesce("component", "id").alias("component"), "n")
     owned = stored(owned, "shingle-owned")
     large = owned.groupBy("component").agg(F.count("*").alias("members"))
-    # Tokens of one component need no search; they are most of them.
-    parts_of = shared.select("token", "key").join(owned.select("key", "component"), "key")
-    between = parts_of.groupBy("token").agg(F.min("component").alias("one"), F.max("component").alias("other")).where(
-        "one <> other").select("token")
-    ranks = owned.join(large, "component").select("key", "g", "b", "n", F.struct("members", "component").alias("rank"))
-    entries = stored(shared.select("token", "key").join(between, "token", "left_semi").join(ranks, "key")
-                     .repartition("token"), "shingle-matrix")
+    # Dealt by token once: both sides of the join are made of the same columns of the same rows.
+    ranks = owned.join(large, "component").select("key", "g", "b", F.col("n").cast("int").alias("n"), "members", "component")
+    entries = shared.select("token", "key").join(ranks, "key").repartition("token")
+    rank = F.struct("members", "component")
     cells = (entries.groupBy("token", "g", "b").agg(
-        F.max("rank").alias("top"), F.min("n").alias("least"), F.max("n").alias("most"))
-        .withColumnRenamed("token", "t"))
-    queries = entries.select("token", "key", "rank", "n")
-    fits = (F.col("top") > F.col("rank")) & (F.col("most") * 100 >= F.col("n") * percent) & (
-        F.col("least") * percent <= F.col("n") * 100)
+        F.max(rank).alias("top"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("key").alias("last"))
+        .select(F.col("token").alias("t"), F.col("g").alias("g2"), F.col("b").alias("b2"), "top", "least", "most", "last"))
+    fits = (F.col("top") > rank) & (F.col("most") * 100 >= F.col("n") * percent) & (
+        F.col("least") * percent <= F.col("n") * 100) & F.col("last").isNotNull()
+    elsewhere = (F.col("g") != F.col("g2")) | (F.col("b") != F.col("b2"))  # its own block has been searched
     least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) * MORE / 100))
-    pairs = stored(queries.join(cells, F.col("token") == F.col("t")).where(fits)
-                   .groupBy("key", "n", "g", "b").agg(F.count("*").alias("found"))
-                   .where(F.col("found") >= least).select("key", "g", "b"), "shingle-pairs")
+    pairs = stored(entries.join(cells, F.col("token") == F.col("t")).where(fits & elsewhere)
+                   .groupBy("key", "n", "g2", "b2").agg(F.count("*").alias("found")).where(F.col("found") >= least)
+                   .select("key", F.col("g2").alias("g"), F.col("b2").alias("b")), "shingle-pairs")
     asked = owned.select("key", "id", "component").join(pairs.select("key").distinct(), "key", "left_semi")
     sets = stored(_with_texts(asked, texts).select("key", "id", "component", "text").mapInArrow(
         _query_sets(words), "key long, id long, component long, tokens binary"), "shingle-queries")

@@ -15,7 +15,7 @@ from tierflow.session import prepare
 def ready(spark: SparkSession) -> SparkSession:
     """The session with the settings of a stage: texts go to Python workers in small batches,
     as four stages' leftovers share an executor's memory."""
-    prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     return spark
 
 

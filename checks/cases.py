@@ -5,6 +5,7 @@ Each case takes (spark, sf_dir) and runs over the whole tables.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -683,14 +684,21 @@ def zorder_identity(spark, d):
     return spark.read.parquet(path)
 
 
+def large_files(rows, limit=1_000_000):
+    """Number of files, at least one, of at most about ``limit`` rows each."""
+    return max(1, math.ceil(rows.count() / limit))
+
+
 @case
 def compact_small_files(spark, d):
-    """Clean shipments as one file of older and many files of newer events; the small ones are joined."""
+    """Clean shipments as a file per million older events and 24 times as many of newer ones; the small ones are joined."""
     path, middle = scratch_path(spark, "silver"), middle_time(spark, d)
     rows = stored(silver(spark, d), "silver")
-    rows.filter(F.col("event_ts") < middle).coalesce(1).write.parquet(path)
-    large = max(compaction.file_sizes(spark.read.parquet(path)).values())
-    rows.filter(F.col("event_ts") >= middle).repartition(24).write.mode("append").parquet(path)
+    older = rows.filter(F.col("event_ts") < middle)
+    files = large_files(older)
+    older.repartition(files).write.parquet(path)
+    large = min(compaction.file_sizes(spark.read.parquet(path)).values())
+    rows.filter(F.col("event_ts") >= middle).repartition(24 * files).write.mode("append").parquet(path)
     compaction.compact_small_files(spark, path, small=large, target=max(large, 1 << 16))
     return spark.read.parquet(path)
 

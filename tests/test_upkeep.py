@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from checks import cases
 from tierflow.plans import compaction, upkeep
 from tierflow.sources import file_stats
 from tierflow.sources.file_stats import Between, equal, read_matching, refresh_file_stats
@@ -107,6 +108,21 @@ def test_only_small_files_are_rewritten(spark, tmp_path):
     assert compaction.compact_small_files(spark, path, small=size // 2, target=3 * size) == []
 
 
+def test_each_bin_is_a_task_of_its_own(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(12):
+        spark.range(1000 * i, 1000 * i + 1000).coalesce(1).write.mode("append").parquet(path)
+    size = max(s.st_size for s in files_of(path).values())
+    bins = compaction.compact_small_files(spark, path, small=10 * size, target=2 * size)
+    tasks = [os.path.basename(f).split("-part-")[1][:5] for f in files_of(path)]
+    assert len(bins) == len(tasks) == len(set(tasks)) == 6
+    assert rows(spark.read.parquet(path)) == rows(spark.range(12_000))
+
+
+def test_large_files_are_bounded_in_rows(spark):
+    assert [cases.large_files(spark.range(n), 10) for n in (0, 1, 10, 11, 25)] == [1, 1, 1, 2, 3]
+
+
 def test_partitions_keep_their_files(spark, tmp_path, frame):
     path = str(tmp_path / "parts")
     for i in range(4):

@@ -72,7 +72,8 @@ def compact_small_files(spark: SparkSession, path: str, small: int | None = None
     name = F.regexp_replace(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))),
                             "^([a-z0-9]+):///", "$1:/")
     rows = spark.read.format(fmt).schema(schema).load(old).select("*", name.alias("_file"))
-    (rows.join(numbers, "_file").drop("_file").repartition("_bin")
+    # By number, not by hash: bins whose hashes meet would be one task's.
+    (rows.join(numbers, "_file").drop("_file").repartitionById(len(bins), "_bin")
          .write.format(fmt).partitionBy("_bin").save(staging))
     folders = [files[0].rsplit("/", 1)[0] for files in bins]
     system, _ = file_system(spark, path)

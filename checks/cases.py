@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from tierflow.operators.ranking import stored
 from tierflow.plans import commerce, compaction, reports, upkeep
 from tierflow.plans.indicators import run_indicators
 from tierflow.schemas import CARRIER_UPDATE, CORRUPT, ORDER_TIMES, SHIPMENT, WAREHOUSE_OP
-from tierflow.session import prepare, scratch_path
+from tierflow.session import at_once, prepare, scratch_path
 from tierflow.sinks import batch
 from tierflow.sources import adapters
 from tierflow.sources.csv import ingest_all, read_csv_bronze, read_csv_checked
@@ -76,12 +77,10 @@ def shown(spark, d):
 
 def write_raw_csv(spark, d, names=tuple(adapters.COMMERCE)):
     """Raw CSV files of the commerce tables; returns (folder, schemas)."""
-    folder, kinds = scratch_path(spark, "raw"), {}
-    for name in names:
-        df = adapters.COMMERCE[name](spark, d)
-        batch.export_csv(df, f"{folder}/{name}.csv")
-        kinds[name] = df.schema
-    return folder, kinds
+    folder = scratch_path(spark, "raw")
+    frames = {name: adapters.COMMERCE[name](spark, d) for name in names}
+    at_once(spark, {name: partial(batch.export_csv, df, f"{folder}/{name}.csv") for name, df in frames.items()})
+    return folder, {name: df.schema for name, df in frames.items()}
 
 
 # --- commerce ----------------------------------------------------------------

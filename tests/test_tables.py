@@ -1,16 +1,20 @@
 """Files, layers, upkeep, and the plans Spark makes of them."""
 
+import threading
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow import session
+from tierflow.functions.numbers import money_sum
 from tierflow.operators.ranking import Ordering, global_ntile
 from tierflow.plans import upkeep
 from tierflow.plans.commerce import FACT_PARTITIONS
 from tierflow.sinks import batch
+from tierflow.sources import csv
 from tierflow.sources.csv import ingest_all, read_csv_bronze
 from tierflow.sources.layers import (commerce_views, count_views, read_layer,
                                      register_layer_views)
@@ -148,3 +152,30 @@ def test_tiles_need_no_shuffle(spark, tmp_path):
         .write.parquet(str(tmp_path / "t"))
     scored = global_ntile(spark.read.parquet(str(tmp_path / "t")), 5, {"s": Ordering("v", "key")})
     assert "Exchange" not in plan(scored)
+
+
+def test_tables_are_loaded_side_by_side(spark, tmp_path, monkeypatch):
+    """Each load waits for the other one to begin, so one after the other would not end."""
+    both, save = threading.Barrier(2, timeout=60), csv.save_table
+
+    def meet(*args):
+        both.wait()
+        return save(*args)
+
+    monkeypatch.setattr(csv, "save_table", meet)
+    for name, count in (("a", 3), ("b", 5)):
+        spark.range(count).write.option("header", True).csv(str(tmp_path / f"{name}.csv"))
+    assert csv.ingest_all(spark, str(tmp_path), str(tmp_path / "out"), {"b": None, "a": None}) == {"b": 5, "a": 3}
+
+
+def test_the_first_error_of_several_jobs_is_raised(spark):
+    with pytest.raises(ZeroDivisionError):
+        session.at_once(spark, {"fine": lambda: spark.range(3).count(), "broken": lambda: 1 // 0})
+
+
+def test_money_sums_stay_exact(spark, frame):
+    rows = [("a", 0.0001), ("a", -0.0002), ("a", 26843.5456), ("a", None), ("b", None), ("c", -26843.5457),
+            *[("d", 9e13)] * 30, ("d", 0.0001), ("e", -9e13), ("e", 9e13), ("e", 0.07)]
+    got = frame("k string, v double", *rows).groupBy("k").agg(money_sum("v").alias("s"))
+    exact = {k: [round(Decimal(repr(v)), 4) for x, v in rows if x == k and v is not None] for k, _ in rows}
+    assert dict(got.collect()) == {k: float(sum(v) * 10_000) / 10_000 if v else None for k, v in exact.items()}

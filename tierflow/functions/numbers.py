@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 # Amounts are added up as whole numbers of this many units per currency unit.
 MONEY_UNITS = 10_000
+LOW_BITS = 28  # of these units, which are summed apart from the higher ones
 
 
 def money(column: Column | str) -> Column:
@@ -16,8 +17,15 @@ def money(column: Column | str) -> Column:
 
 
 def money_sum(column: Column | str) -> Column:
-    """Exact sum of amounts, given back as a double."""
-    return F.sum(money(column)).cast("double") / MONEY_UNITS
+    """Exact sum of amounts, given back as a double.
+
+    The low and the high bits of the units are summed apart, as plain whole numbers:
+    decimals wider than these are objects, which cost most of such an aggregate.
+    """
+    units = F.rint((F.col(column) if isinstance(column, str) else column) * MONEY_UNITS).cast("bigint")
+    high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1)))
+    return (high * F.lit(1 << LOW_BITS) + low.cast("decimal(20,0)")).cast("double") / MONEY_UNITS
 
 
 def money_avg(column: Column | str) -> Column:

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import Any
 from urllib.parse import unquote
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings every job of this package relies on. They are runtime settings, so
@@ -64,6 +67,21 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+def at_once(spark: SparkSession, jobs: dict[str, Callable[[], Any]], threads: int = 4) -> dict[str, Any]:
+    """Results of independent jobs, by name, run side by side.
+
+    Cores that the last tasks of one job leave idle go to the next. The first error
+    is raised; jobs that have not begun by then are left out.
+    """
+    bound = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(threads) as pool:
+        running = {name: pool.submit(bound(job)) for name, job in jobs.items()}
+        try:
+            return {name: job.result() for name, job in running.items()}
+        finally:
+            pool.shutdown(cancel_futures=True)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder of the cluster, for intermediate tables.
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.schemas import CORRUPT, RAW_COMMERCE
+from tierflow.session import at_once
 from tierflow.sinks.batch import save_table
 
 
@@ -51,8 +54,11 @@ def ingest_all(spark: SparkSession, raw_dir: str, bronze_dir: str,
                tables: dict[str, T.StructType | None] | None = None,
                fmt: str = "parquet") -> dict[str, int]:
     """Load ``<raw_dir>/<name>.csv`` (file or folder) for every table of the
-    registry; returns the rows written per table, counted during the write."""
+    registry; returns the rows written per table, counted during the write.
+    Several tables are loaded at a time."""
+    def load(name: str, schema: T.StructType | None) -> int:
+        return save_table(read_csv_bronze(spark, f"{raw_dir}/{name}.csv", schema),
+                          f"{bronze_dir}/{name}", fmt)
+
     registry = tables or dict.fromkeys(RAW_COMMERCE)
-    return {name: save_table(read_csv_bronze(spark, f"{raw_dir}/{name}.csv", schema),
-                             f"{bronze_dir}/{name}", fmt)
-            for name, schema in registry.items()}
+    return at_once(spark, {name: partial(load, name, schema) for name, schema in registry.items()})

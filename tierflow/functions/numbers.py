@@ -22,7 +22,7 @@ def money_sum(column: Column | str) -> Column:
     The low and the high bits of the units are summed apart, as plain whole numbers:
     decimals wider than these are objects, which cost most of such an aggregate.
     """
-    units = F.rint((F.col(column) if isinstance(column, str) else column) * MONEY_UNITS).cast("bigint")
+    units = money(column).cast("bigint")
     high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(20,0)")
     low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1)))
     return (high * F.lit(1 << LOW_BITS) + low.cast("decimal(20,0)")).cast("double") / MONEY_UNITS

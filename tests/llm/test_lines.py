@@ -1,11 +1,13 @@
 """Repeated runs of lines against a plain version and the registered SQL."""
 
 import random
+import re
 
 import duckdb
 import pytest
 
 from tierflow.llm import line_dedup, registry
+from tierflow.session import settings
 
 SCHEMA = "doc_id long, text string, row string, n_chars int"
 LONG = " ".join(f"w{i}" for i in range(50))
@@ -78,6 +80,29 @@ def test_a_line_of_very_many_documents(frame):
     assert all(r.text == f"own {r.row.doc_id}" for r in rows if r.row.doc_id)
 
 
+def shuffled(df, capsys):
+    """Bytes of all shuffles of a query, before compression."""
+    df.collect()
+    df.explain("formatted")
+    sizes = re.findall(r"ShuffleQueryStage.*sizeInBytes=([\d.]+) (\w+)", capsys.readouterr().out)
+    return sum(float(n) * 1024 ** ["B", "KiB", "MiB"].index(unit) for n, unit in sizes)
+
+
+def test_texts_are_shuffled_once_and_only_to_meet_their_lines(spark, frame, capsys):
+    docs = frame(SCHEMA, *[(i, f"{i} {'x' * 20_000}\n{LONG}", "x", 0) for i in range(40)])
+    texts = 40 * 20_000
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert 0 < shuffled(line_dedup.hashed_lines(docs), capsys) < texts / 10
+        assert texts < shuffled(line_dedup.renewed_documents(docs), capsys) < 1.5 * texts
+
+
+def test_equal_rows_of_short_and_blank_lines(frame):
+    text = "\n \na\n\t\r\nb c\n\n"
+    lines = line_dedup.hashed_lines(frame("doc_id long, text string", (1, text), (1, text), (None, text), (2, "\n"), (3, None)))
+    assert sorted((r._doc, r.pos, r.words, r.upto) for r in lines.collect()) == [
+        (d, *rest) for d in (-(1 << 63), 1) for rest in ((2, 1, 1), (4, 2, 3))]
+
+
 @pytest.mark.parametrize("folder", ["sf0.001"])
 def test_query_equals_its_sql(spark, folder):
     con = duckdb.connect()

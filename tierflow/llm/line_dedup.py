@@ -33,15 +33,20 @@ def _identity(docs: DataFrame) -> DataFrame:
 
 def hashed_lines(docs: DataFrame) -> DataFrame:
     """(_doc, _text, pos, h, g, words, upto): lines that are not blank, with two hashes
-    and the words up to each line's end."""
-    line = F.btrim("line", F.lit(BLANKS))
+    and the words up to each line's end.
+
+    Lines are hashed before repeated documents meet, so hashes are shuffled, not texts.
+    """
+    trimmed = F.transform(F.split("text", "\n"), lambda line: F.btrim(line, F.lit(BLANKS)))
     lines = (_identity(docs.select("doc_id", "text")).where("text is not null")
+             .select("_doc", "_text", trimmed.alias("lines"))
+             .select("_doc", "_text", F.transform("lines", lambda line: F.xxhash64(line)).alias("h"),
+                     F.transform("lines", lambda line: F.xxhash64(F.lit(1), line)).alias("g"),
+                     F.transform("lines", lambda line: F.regexp_count(line, F.lit(WORD))).alias("words"))
              .dropDuplicates(["_doc", "_text"])
-             .select("_doc", "_text", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-             .select("_doc", "_text", "pos", line.alias("line")).where("line <> ''")
-             .select("_doc", "_text", "pos", F.xxhash64("line").alias("h"),
-                     F.xxhash64(F.lit(1), "line").alias("g"),
-                     F.regexp_count("line", F.lit(WORD)).cast("long").alias("words")))
+             .select("_doc", "_text", F.posexplode(F.arrays_zip("h", "g", "words")).alias("pos", "line"))
+             .select("_doc", "_text", "pos", "line.h", "line.g",
+                     F.col("line.words").cast("long").alias("words")).where("words > 0"))
     so_far = Window.partitionBy("_doc", "_text").orderBy("pos").rowsBetween(
         Window.unboundedPreceding, 0)
     return lines.withColumn("upto", F.sum("words").over(so_far))
@@ -108,13 +113,15 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             .select("_doc", "_text", F.explode(F.sequence("first", "last")).alias("pos")).distinct()
             .groupBy("_doc", "_text").agg(F.collect_list("pos").alias("gone")))
     rows = _identity(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")))
-    lines = F.split("text", "\n")
+    rows = rows.select("_doc", "_text", "row")  # the text travels once, in its row
+    text = F.col("row").getField("text")
+    lines = F.split(text, "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    left = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
+    left = F.when(F.col("gone").isNull(), text).otherwise(
         F.array_join(F.transform(kept, lambda i: lines[i]), "\n"))
     return rows.join(gone, ["_doc", "_text"], "left").select(
         "row", left.alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"))
 
 
